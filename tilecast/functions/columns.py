@@ -51,31 +51,34 @@ def _poisson_steps(rate: float) -> list[float]:
         term *= rate / k
 
 
-def poisson_count(
-    rate: float, seed: int | str, *keys: str | Column, copies: str | None = None
-) -> Column:
-    """How often a row is drawn when sampling with replacement at ``rate``.
+def poisson_count(u: str, rate: float) -> Column:
+    """How often a row is drawn at ``rate`` with replacement, given the column ``u`` of numbers.
 
-    Large rates use the sum of several independent draws, which is again Poisson. So does a
-    row that stands for several ``copies``.
+    ``u`` holds arrays of independent numbers in [0, 1): one for each of :func:`draws_for` draws
+    and each copy of the row. Their counts add up, as a sum of Poisson counts is again Poisson.
     """
-    if rate <= 0:
-        return F.lit(0)
-    draws = math.ceil(rate / MAX_RATE_PER_DRAW)
-    steps = _poisson_steps(rate / draws)
+    return F.aggregate(
+        u, F.lit(0), lambda total, x: total + steps_passed(x, rate / draws_for(rate))
+    )
 
-    def count(u: Column) -> Column:
-        return reduce(lambda a, b: a + b, [(u >= F.lit(s)).cast("int") for s in steps])
 
-    if draws == 1 and copies is None:
-        return count(uniform(seed, *keys))
-    total = F.lit(draws) * (F.col(copies) if copies else F.lit(1))
-    return F.aggregate(
-        F.sequence(F.lit(1), total.cast("int")),
-        F.lit(0),
-        lambda drawn, draw: drawn
-        + count(uniform(F.concat_ws("_", F.lit(str(seed)), draw.cast("string")), *keys)),
+def steps_passed(u: Column, rate: float) -> Column:
+    """Inverse Poisson distribution at a single number ``u``."""
+    return reduce(lambda a, b: a + b, [(u >= F.lit(s)).cast("int") for s in _poisson_steps(rate)])
+
+
+def draws_for(rate: float) -> int:
+    return max(1, math.ceil(rate / MAX_RATE_PER_DRAW))
+
+
+def uniforms(n: Column, seed: int | str, *keys: str | Column) -> Column:
+    """An array of ``n`` independent numbers; the first is ``uniform(seed, *keys)``."""
+    first = F.array(uniform(seed, *keys))
+    more = F.transform(
+        F.sequence(F.lit(2), n.cast("int")),
+        lambda i: uniform(F.concat_ws("_", F.lit(str(seed)), i.cast("string")), *keys),
     )
+    return F.when(n > 1, F.concat(first, more)).otherwise(first)
 
 
 def scale_to_int8(value: str | Column, factor: float = 100.0) -> Column:

@@ -10,31 +10,32 @@ from pyspark.sql import functions as F
 
 from tilecast.runtime import materialize
 
-#: Slices of the value range; each is summed up in a task of its own.
-SLICES = 512
+#: Rows summed up in one task, and the most slices that the value range is cut into.
+SLICE_ROWS = 1_000_000
+MAX_SLICES = 10_000
 
 #: Up to this many rows, sort-and-limit keeps its heap of rows in one task.
 MAX_LIMIT_ROWS = 100_000
 
 
 def running_totals(
-    df: DataFrame, order: str, values: Sequence[str], slices: int = SLICES
+    df: DataFrame, order: str, values: Sequence[str], slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Add ``before_<v>``: the sum of ``v`` over all rows with a smaller ``order`` value.
 
     ``df`` has one row per ``order`` value (aggregate first, which also removes skew). The
     range is cut at approximate quantiles into slices of similar size; totals of the slices
-    (at most ``slices`` rows) are summed up first, then rows inside each slice. Any cut gives
-    exact results, so the quantiles need not be.
+    (at most ``MAX_SLICES`` rows) are summed up first, then rows inside each slice. Any cut
+    gives exact results, so the quantiles need not be.
     """
-    probabilities = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(df.approxQuantile(order, probabilities, 0.25 / slices)))
-    splits = [float("-inf"), *cuts, float("inf")]
-    sliced = (
-        Bucketizer(splits=splits, inputCol="_order", outputCol="_slice")
-        .transform(df.withColumn("_order", F.col(order).cast("double")))
-        .drop("_order")
-    )
+    slices = min(MAX_SLICES, -(-df.count() // slice_rows))
+    sliced = df.withColumn("_slice", F.lit(0.0))
+    if slices > 1:
+        probabilities = [i / slices for i in range(1, slices)]
+        cuts = sorted(set(df.approxQuantile(order, probabilities, 0.25 / slices)))
+        splits = [float("-inf"), *cuts, float("inf")]
+        cut = Bucketizer(splits=splits, inputCol="_order", outputCol="_slice")
+        sliced = cut.transform(df.withColumn("_order", F.col(order).cast("double"))).drop("_order")
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         sliced.groupBy("_slice").agg(*[F.sum(v).alias(f"_{v}") for v in values])
@@ -45,7 +46,7 @@ def running_totals(
         sliced.select(
             "*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_in_{v}") for v in values]
         )
-        # At most `slices` rows, so the broadcast has a fixed bound.
+        # At most MAX_SLICES rows, so the broadcast has a fixed bound.
         .join(F.broadcast(totals), "_slice")
         .select(
             *df.columns,

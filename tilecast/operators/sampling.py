@@ -7,13 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilecast.functions.columns import poisson_count, uniform
+from tilecast.functions.columns import (
+    draws_for,
+    poisson_count,
+    steps_passed,
+    uniform,
+    uniforms,
+)
 from tilecast.operators.ranking import smallest
 
 
 def poisson_sample(df: DataFrame, rate: float, seed: int, keys: Sequence[str]) -> DataFrame:
     """Sample with replacement: rows drawn at least once, with their count ``drawn``."""
-    return df.withColumn("drawn", poisson_count(rate, seed, *keys)).where("drawn > 0")
+    # The numbers get a projection of their own, so that they are hashed once per row.
+    if draws_for(rate) == 1:
+        drawn = df.withColumn("_u", uniform(seed, *keys)).withColumn("drawn", steps_passed(F.col("_u"), rate))
+    else:
+        numbers = uniforms(F.lit(draws_for(rate)), seed, *keys)
+        drawn = df.withColumn("_u", numbers).withColumn("drawn", poisson_count("_u", rate))
+    return drawn.drop("_u").where("drawn > 0")
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int, keys: Sequence[str]) -> DataFrame:
@@ -66,12 +78,12 @@ def balance_weights(
     as the weight.
     """
     rates = balance_rates(df, label, copies, keep_unlabelled)
-    drawn = (
-        F.when(F.col(label) == 1, poisson_count(rates[1], seed, *keys, copies=copies))
-        .when(F.col(label) == 0, poisson_count(rates[0], seed, *keys, copies=copies))
-        .otherwise(0)
-    )
-    return df.withColumn("drawn", drawn).where("drawn > 0")
+    value = F.col(label)
+    drawn = F.when(value == 1, poisson_count("_u", rates[1])).when(value == 0, poisson_count("_u", rates[0]))
+    draws = F.when(value == 1, F.lit(draws_for(rates[1]))).otherwise(F.lit(draws_for(rates[0])))
+    numbers = draws * F.col(copies) if copies else draws
+    known = df.where(value.isin(0, 1)).withColumn("_u", uniforms(numbers, seed, *keys))
+    return known.withColumn("drawn", drawn).drop("_u").where("drawn > 0")
 
 
 def repeat_rows(df: DataFrame, count: str = "drawn") -> DataFrame:

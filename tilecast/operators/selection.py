@@ -41,9 +41,7 @@ def outgoing_names(
     cells: DataFrame, pool: DataFrame, run: int | str, iteration: int
 ) -> DataFrame:
     """Pool sites on the selected cells, in the layout of the names file."""
-    return pool.join(
-        broadcast_if_small(cells.select("col", "row")), ["col", "row"], "left_semi"
-    ).select(
+    return pool.join(cells.select("col", "row"), ["col", "row"], "left_semi").select(
         "name",
         F.lit(run).alias("run"),
         F.lit(iteration).cast("int").alias("iteration"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilecast.functions.columns import SEASONS
-from tilecast.runtime import broadcast_if_small
 
 SITE_KEYS = ["name", "col", "row", "name_col_row"]
 
@@ -77,12 +76,13 @@ def site_images(pairs: DataFrame, sites: DataFrame) -> DataFrame:
 def scene_sites(sampled: DataFrame, catalog: DataFrame, sites: DataFrame, season: str = SEASONS[0]) -> DataFrame:
     """All sites covered by any scene that covers a sampled cell.
 
-    Scenes are few compared with the cells they cover, so the catalog is filtered by the
-    distinct scenes instead of being joined to each sampled cell.
+    The catalog is filtered by the distinct scenes and never joined to each sampled cell.
+    Scenes are few, so at run time Spark broadcasts their list once it has seen its size.
     """
     images = catalog.where(F.col("season") == season).select("col", "row", "scene_id")
-    touched = images.join(
-        broadcast_if_small(sampled.select("col", "row").distinct()), ["col", "row"], "left_semi"
-    ).select("scene_id").distinct()
-    cells = images.join(broadcast_if_small(touched), "scene_id", "left_semi").select("col", "row")
+    touched = (
+        images.join(sampled.select("col", "row"), ["col", "row"], "left_semi")
+        .select("scene_id").distinct()
+    )
+    cells = images.join(touched, "scene_id", "left_semi").select("col", "row")
     return sites.select(*SITE_KEYS).join(cells, ["col", "row"], "left_semi").distinct()

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tilecast.functions import kernels
 from tilecast.layout import Layout, SourceGrid
 from tilecast.operators.tiles import crop
-from tilecast.runtime import MAX_BROADCAST_ROWS
+from tilecast.runtime import MAX_BROADCAST_ROWS, materialize
 from tilecast.sources.imagery import block_of
 
 
@@ -51,9 +51,9 @@ class _Axis:
         """Target cells whose window may reach a source tile."""
         first, last = F.col(source) * self.tile, F.col(source) * self.tile + (self.tile - 1)
         scale, offset, tile = F.lit(self.scale), F.lit(self.offset), F.lit(self.tile)
-        low = ((first - 1 - offset) / scale - self.buffer - self.tile) / tile
+        low = ((first - 1 - offset) / scale - self.buffer - (self.tile - 1)) / tile
         high = ((last + 1 - offset) / scale + self.buffer) / tile
-        return F.sequence(F.floor(low).cast("bigint"), F.ceil(high).cast("bigint"))
+        return F.sequence(F.ceil(low).cast("bigint"), F.floor(high).cast("bigint"))
 
     def overlap(self, source: str, target: str) -> tuple[Column, Column]:
         """Part of the window inside a source tile, as in-tile positions."""
@@ -181,7 +181,8 @@ def window_map(
     """
     x, y = _axes(layout, grid, buffer)
     keys = ["col", "row", *seasons]
-    wanted = targets.select(*keys).distinct()
+    # Only keys, written once: counted here and read again by the join.
+    wanted = materialize(targets.select(*keys).distinct(), "targets")
     few = wanted.count() * len(seasons) * 9 <= max_broadcast
     pieces = (_pull if few else _push)(tiles, wanted, keys, seasons, bands, x, y)
     aligned, count = grid.aligned, len(bands)
@@ -202,13 +203,12 @@ def window_map(
             s: np.full((count, y.length(row), x.length(col)), np.nan) for s in seasons
         }
         for batch in batches:
-            cells = [batch.column(b) for b in bands]
-            place = zip(*[batch.column(c).to_pylist() for c in ("season", "left", "top", "width")])
-            for i, (season, left, top, width) in enumerate(place):
-                for band, values in enumerate(cells):
-                    if not values[i].is_valid:
-                        continue
-                    part = values[i].values.cast(pa.float64()).to_numpy(zero_copy_only=False)
+            place = list(zip(*[batch.column(c).to_pylist() for c in ("season", "left", "top", "width")]))
+            for band, name in enumerate(bands):
+                lists = batch.column(name)
+                cells = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                for (season, left, top, width), part in zip(place, np.split(cells, ends[:-1])):
                     part = part.reshape(-1, width)
                     canvas[season][band, top : top + part.shape[0], left : left + width] = part
         results = {}

@@ -95,9 +95,9 @@ class Fixtures:
         """Global pixels per season; the bands are NULL where there is no data."""
         lines = self.table("lineitem").groupBy("l_orderkey", "l_linestatus").agg(
             F.expr("sum(cast(l_quantity as bigint))").alias("b1"),
-            F.expr("sum(cast(round(l_extendedprice) as bigint))").alias("b2"),
-            F.expr("sum(cast(round(l_discount * 100) as bigint))").alias("b3"),
-            F.expr("sum(cast(round(l_tax * 100) as bigint))").alias("b4"),
+            F.expr("sum(cast(l_extendedprice + 0.5 as bigint))").alias("b2"),
+            F.expr("sum(cast(l_discount * 100 + 0.5 as bigint))").alias("b3"),
+            F.expr("sum(cast(l_tax * 100 + 0.5 as bigint))").alias("b4"),
         )
         seasons = self._grid().select(
             "k", "gx", "gy",

@@ -80,7 +80,7 @@ def _with_pixel_position(df: DataFrame) -> DataFrame:
 
 def _both_seasons(fx: Fixtures, build: Callable[[DataFrame, DataFrame, str], DataFrame], kind: str, out: str) -> DataFrame:
     """Run a one-season operator for both seasons and name its outputs alike."""
-    imagery_tiles = fx.tiles()
+    imagery_tiles = materialize(fx.tiles(), "tiles")
     parts = []
     for season in fn.SEASONS:
         frame = build(imagery_tiles, _targets(fx, season), season)
