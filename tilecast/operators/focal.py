@@ -114,11 +114,11 @@ def gather(
     dedupe: bool = False,
     **reading,
 ) -> DataFrame:
-    """Feature pixels of the listed sites, with label and ``copies`` when ``masks`` are given.
+    """Feature pixels of the listed sites, with label, usage and ``copies`` if ``masks`` are given.
 
     Features are computed once per cell and pair of scenes. ``copies`` says how many rows the
-    site list has for the cell (1 with ``dedupe``); samples and counts of labelled pixels
-    multiply by it, so a site listed very often costs no more pixels than any other.
+    site list has for the cell and usage (1 with ``dedupe``); samples and counts of labelled
+    pixels multiply by it, so a site listed very often costs no more pixels than any other.
     """
     wanted = pairs.join(sites.select("col", "row").distinct(), ["col", "row"], "left_semi")
     frame = features(tiles, wanted, layout, seasons, bands, **reading)
@@ -126,9 +126,9 @@ def gather(
     if masks is None:
         return explode_tiles(frame, names, layout.tile_cols, ["col", "row"])
     copies = F.max(F.lit(1).cast("bigint")) if dedupe else F.count("*")
-    listed = sites.groupBy("col", "row").agg(copies.alias("copies"))
+    listed = sites.groupBy("col", "row", "usage").agg(copies.alias("copies"))
     labels = masks.select("col", "row", "mask").join(listed, ["col", "row"])
     return explode_tiles(
         frame.join(labels, ["col", "row"]), ["mask", *names], layout.tile_cols,
-        ["col", "row", "copies"],
+        ["col", "row", "usage", "copies"],
     )

@@ -53,9 +53,27 @@ def pipeline(
     return Pipeline(stages=[assembler, forest])
 
 
-def train(df: DataFrame, features: Sequence[str], label: str, **options) -> PipelineModel:
-    labelled = drop_nodata(df, [*features, label]).withColumn(label, F.col(label).cast("double"))
-    return pipeline(features, label, **options).fit(labelled)
+def train(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    spread_by: Sequence[str] = (),
+    partitions: int | None = None,
+    **options,
+) -> PipelineModel:
+    """Fit the forest on the rows that have all features and a label.
+
+    ``spread_by`` names row keys by which rows are spread evenly over ``partitions`` (default:
+    all cores) before the many passes of training; the same keys, seed and number of
+    partitions give the same forest.
+    """
+    rows = drop_nodata(df, [*features, label]).withColumn(label, F.col(label).cast("double"))
+    weight = options.get("weight")
+    rows = rows.select(*spread_by, *features, label, *([weight] if weight else []))
+    if spread_by:
+        n = partitions or df.sparkSession.sparkContext.defaultParallelism
+        rows = rows.repartition(n, *spread_by)
+    return pipeline(features, label, **options).fit(rows)
 
 
 def classify(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:

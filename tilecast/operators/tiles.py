@@ -41,19 +41,23 @@ def _dense(packed: str, value: str, size: int, kind: str) -> Column:
 
 
 def assemble_tiles(
-    pixels: DataFrame, keys: Sequence[str], values: Sequence[str], layout: Layout
+    pixels: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    layout: Layout,
+    unique: bool = False,
 ) -> DataFrame:
     """Inverse of :func:`explode_tiles`: one row per ``keys`` with dense row-major arrays.
 
     Absent pixels become NULL. Repeated pixels are first reduced to their largest value, with
-    map-side combining, so a tile never gathers more than its fixed number of pixels. A frame
-    that is already partitioned by ``keys`` is not shuffled again.
+    map-side combining, so a tile never gathers more than its fixed number of pixels. A caller
+    who knows that no pixel repeats says ``unique`` and saves that shuffle.
     """
     kinds = {f.name: f.dataType.simpleString() for f in pixels.schema.fields}
     position = (F.col("row_index") * layout.tile_cols + F.col("column_index")).cast("int")
-    single = pixels.groupBy(*keys, position.alias("pos")).agg(
-        *[F.max(v).alias(v) for v in values]
-    )
+    single = pixels.select(*keys, position.alias("pos"), *values)
+    if not unique:
+        single = single.groupBy(*keys, "pos").agg(*[F.max(v).alias(v) for v in values])
     packed = single.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", *values))).alias("_packed")
     )

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tilecast.functions.columns import BANDS, SEASONS, feature_names
 from tilecast.layout import MASTER, Layout, SourceGrid
@@ -73,6 +74,7 @@ class Iteration:
         self.inputs, self.settings = inputs, settings
         self.labelled = labelled(inputs.incoming, settings.run)
         self.pairs = season_pairs(inputs.catalog, "scene_id")
+        self._labelled_pixels: DataFrame | None = None
         self.next_iteration = (last_iteration(self.labelled).first()[0] or 0) + 1
 
     def _gather(self, sites: DataFrame, masks: DataFrame | None = None, pairs: DataFrame | None = None):
@@ -82,26 +84,32 @@ class Iteration:
             SEASONS, s.bands, s.dedupe, grid=s.grid, method=s.resampling,
         )
 
-    def labelled_pixels(self, usage: str) -> DataFrame:
-        """Features and labels of the sites marked ``train`` or ``validate``."""
-        sites = sites_with_usage(self.inputs.pool, self.labelled).where(f"usage = '{usage}'")
-        pixels = self._gather(sites, self.inputs.masks)
-        return forest.drop_nodata(pixels, ["mask", *self.settings.features])
+    def labelled_pixels(self) -> DataFrame:
+        """Features and labels of the sites for training and validation.
+
+        One pass over the imagery serves both uses; the table is written once and kept.
+        """
+        if self._labelled_pixels is None:
+            sites = sites_with_usage(self.inputs.pool, self.labelled)
+            listed = sites.where(F.col("usage").isin("train", "validate"))
+            pixels = self._gather(listed, self.inputs.masks)
+            complete = forest.drop_nodata(pixels, ["mask", *self.settings.features])
+            self._labelled_pixels = materialize(complete, "labelled")
+        return self._labelled_pixels
 
     def train(self) -> PipelineModel:
         """Fit on a class-balanced sample, which repeats rows by weight instead of copying."""
         s = self.settings
-        pixels = materialize(self.labelled_pixels("train"), "training")
+        pixels = self.labelled_pixels().where("usage = 'train'")
         sample = balance_weights(pixels, "mask", s.seed, PIXEL_KEYS, copies="copies")
         return forest.train(
-            sample, s.features, "mask", weight="drawn", seed=s.seed, **s.forest
+            sample, s.features, "mask", PIXEL_KEYS, weight="drawn", seed=s.seed, **s.forest
         )
 
     def report(self, model: PipelineModel) -> DataFrame:
         s = self.settings
-        scored = materialize(
-            forest.classify(model, self.labelled_pixels("validate"), ["mask", "copies"]), "validation"
-        )
+        pixels = self.labelled_pixels().where("usage = 'validate'")
+        scored = materialize(forest.classify(model, pixels, ["mask", "copies"]), "validation")
         return metrics_report(
             scored, "mask", "prediction", "p_field", s.run, self.next_iteration, s.aoi, "copies"
         )
@@ -135,11 +143,14 @@ class Iteration:
     def images(self, model: PipelineModel, images: int | None = None) -> DataFrame:
         """Coarse probability tiles around ``images`` sampled cells, or of every site if None."""
         s = self.settings
+        pairs = self.pairs
         if images is None:
             sites = all_sites(self.inputs.pool, self.inputs.qs)
-            catalog = self.inputs.full_catalog
-            pairs = None if catalog is None else season_pairs(catalog, "scene_id")
+            if self.inputs.full_catalog is not None:
+                pairs = season_pairs(self.inputs.full_catalog, "scene_id")
         else:
-            sites, pairs = self.image_sites(images), None
+            sites = self.image_sites(images)
         scored = forest.classify(model, self._gather(sites, pairs=pairs), PIXEL_KEYS)
-        return probability_tiles(scored, s.layout, factor=s.coarse_factor)
+        # Cells with several pairs of scenes have several scores per pixel.
+        unique = pairs.groupBy("col", "row").count().where("count > 1").isEmpty()
+        return probability_tiles(scored, s.layout, factor=s.coarse_factor, unique=unique)

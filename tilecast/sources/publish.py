@@ -27,11 +27,21 @@ class NoNewNames(RuntimeError):
 
 
 def probability_tiles(
-    scored: DataFrame, layout: Layout, value: str = "p_field", factor: int = COARSE_FACTOR
+    scored: DataFrame,
+    layout: Layout,
+    value: str = "p_field",
+    factor: int = COARSE_FACTOR,
+    unique: bool = False,
 ) -> DataFrame:
-    """Coarse tiles of the probability in percent, as signed bytes, NULL where not scored."""
-    percent = scored.select("col", "row", "column_index", "row_index", scale_to_int8(value).alias("value"))
-    return retile(assemble_tiles(percent, ["col", "row"], ["value"], layout), ["value"], layout, factor)
+    """Coarse tiles of the probability in percent, as signed bytes, NULL where not scored.
+
+    ``unique`` says that no pixel is scored more than once.
+    """
+    percent = scored.select(
+        "col", "row", "column_index", "row_index", scale_to_int8(value).alias("value")
+    )
+    tiles = assemble_tiles(percent, ["col", "row"], ["value"], layout, unique)
+    return retile(tiles, ["value"], layout, factor)
 
 
 def publish(

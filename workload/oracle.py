@@ -395,9 +395,9 @@ QUERIES: dict[str, tuple[str, str]] = {
     "join_features": (f"{_FEATURES}, {_JOINED}", f"select {_KEYS}, * exclude (gx, gy, col, \"row\") from joined"),
     "training_pixels": (
         f'''{_FEATURES}, {_JOINED},
-        listed as (select col, "row", count(*) as copies from pool p join labelled i on i.name = p.name
-                   where usage = 'train' group by all)''',
-        f'''select {_KEYS}, copies, mask, * exclude (gx, gy, col, "row", copies, mask)
+        listed as (select col, "row", usage, count(*) as copies
+                   from pool p join labelled i on i.name = p.name group by all)''',
+        f'''select {_KEYS}, usage, copies, mask, * exclude (gx, gy, col, "row", usage, copies, mask)
             from joined join listed using (col, "row") join mask using (gx, gy)''',
     ),
     "test_pixels": (

@@ -13,7 +13,7 @@ from tilecast.functions import columns as fn
 from tilecast.operators import focal, metrics, sampling, selection, sites, tiles
 from tilecast.operators import model as forest
 from tilecast.operators.resample import resample
-from tilecast.plans.iteration import PIXEL_KEYS
+from tilecast.plans.iteration import PIXEL_KEYS, Inputs, Iteration, Settings
 from tilecast.runtime import materialize, shared_path
 from tilecast.sources import imagery, publish, tables
 from workload.fixtures import BANDS, LAYOUT, PIXEL, TILE, Fixtures
@@ -441,7 +441,8 @@ def join_features(fx):
 
 @query
 def training_pixels(fx):
-    listed = sites.sites_with_usage(fx.pool(), _labelled(fx)).where("usage = 'train'")
+    """Pixels of the training and the validation sites, as one pass serves both."""
+    listed = sites.sites_with_usage(fx.pool(), _labelled(fx)).where("usage is not null")
     pixels = focal.gather(fx.tiles(), _pairs(fx), listed, LAYOUT, fx.mask_tiles())
     return rounded(pixels, "_avg_", "_std_")
 
@@ -479,31 +480,26 @@ def balance_samples(fx):
 # -- learning --------------------------------------------------------------------------
 
 
-def _training(fx: Fixtures) -> DataFrame:
-    listed = sites.sites_with_usage(fx.pool(), _labelled(fx)).where("usage = 'train'")
-    pixels = focal.gather(fx.tiles(), _pairs(fx), listed, LAYOUT, fx.mask_tiles())
-    pixels = materialize(forest.drop_nodata(pixels, ["mask", *fn.feature_names()]), "training")
-    return sampling.balance_weights(pixels, "mask", 7, PIXEL_KEYS, copies="copies")
-
-
-def _model(fx: Fixtures):
-    return forest.train(_training(fx), fn.feature_names(), "mask", weight="drawn", seed=7)
+def _iteration(fx: Fixtures) -> Iteration:
+    inputs = Inputs(
+        fx.pool(), fx.qs(), fx.incoming_merged(), fx.catalog(), fx.tiles(), fx.mask_tiles()
+    )
+    return Iteration(inputs, Settings(run=RUN, aoi=AOI, seed=7, layout=LAYOUT, coarse_factor=5))
 
 
 @query
 def train_classify(fx):
     """Train on the training sites, report on the validation sites."""
-    listed = sites.sites_with_usage(fx.pool(), _labelled(fx)).where("usage = 'validate'")
-    held_out = focal.gather(fx.tiles(), _pairs(fx), listed, LAYOUT, fx.mask_tiles())
-    scored = materialize(forest.classify(_model(fx), held_out.where("mask is not null"), ["mask", "copies"]), "validation")
-    return metrics.metrics_report(scored, "mask", "prediction", "p_field", RUN, NEXT, AOI, "copies")
+    step = _iteration(fx)
+    return step.report(step.train())
 
 
 @query
 def classify(fx):
     """Class probabilities of every pixel of the test sites."""
-    pixels = focal.gather(fx.tiles(), _pairs(fx), _test_sites(fx), LAYOUT)
-    return forest.classify(_model(fx), pixels, PIXEL_KEYS)
+    step = _iteration(fx)
+    pixels = focal.gather(fx.tiles(), step.pairs, step.test_sites(), LAYOUT)
+    return forest.classify(step.train(), pixels, PIXEL_KEYS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
