@@ -127,24 +127,28 @@ def executed(df):
 
 
 @pytest.mark.parametrize("max_broadcast", [10**6, 0])
-def test_imagery_is_shuffled_once(spark, tiles, targets, max_broadcast, monkeypatch):
-    monkeypatch.setattr("tilecast.operators.windows.materialize", lambda df, name: df)
+def test_imagery_is_shuffled_once(spark, tiles, targets, max_broadcast):
+    """Few targets: one exchange. Many: imagery and keys are each sent to the cells once."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        few = focal.features(tiles, targets, LAYOUT, bands=BANDS, max_broadcast=max_broadcast)
-        plan = few._jdf.queryExecution().sparkPlan()  # before exchanges
-        plan = few._jdf.queryExecution().executedPlan().toString()
+        frame = focal.features(tiles, targets, LAYOUT, bands=BANDS, max_broadcast=max_broadcast)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    payload = [
-        line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "GS" not in line.split("[plan_id")[0]
-    ]
-    exchanges = plan.count("Exchange hashpartitioning")
-    # The rest are the keys of the targets: made distinct, then sent to their cells.
-    assert exchanges <= (2 if max_broadcast else 3), plan
-    assert len(payload) <= 2
+    assert plan.count("Exchange hashpartitioning") == (1 if max_broadcast else 2)
+    assert plan.count("Sort [") == 1, plan
+
+
+@pytest.mark.parametrize("max_broadcast", [10**6, 0])
+def test_layers_join_the_group(spark, tiles, targets, max_broadcast):
+    heights = spark.createDataFrame([(0, 0, [None] + [7] * 35)], "col bigint, row bigint, height array<smallint>")
+    named = targets.where("row = 0").withColumn("tag", F.concat("GS", F.lit("!")))
+    got = focal.features(
+        tiles, named, LAYOUT, bands=BANDS, layers={"height": heights}, carry=["tag"], max_broadcast=max_broadcast
+    )
+    for r in got.collect():
+        assert r.tag == r.GS + "!"
+        assert r.height == ([None] + [7.0] * 35 if r.col == 0 else None)
 
 
 @pytest.mark.parametrize("max_broadcast", [10**6, 0])

@@ -120,15 +120,17 @@ def gather(
     site list has for the cell and usage (1 with ``dedupe``); samples and counts of labelled
     pixels multiply by it, so a site listed very often costs no more pixels than any other.
     """
-    wanted = pairs.join(sites.select("col", "row").distinct(), ["col", "row"], "left_semi")
-    frame = features(tiles, wanted, layout, seasons, bands, **reading)
     names = feature_names(seasons, bands)
     if masks is None:
+        wanted = pairs.join(sites.select("col", "row").distinct(), ["col", "row"], "left_semi")
+        frame = features(tiles, wanted, layout, seasons, bands, **reading)
         return explode_tiles(frame, names, layout.tile_cols, ["col", "row"])
     copies = F.max(F.lit(1).cast("bigint")) if dedupe else F.count("*")
     listed = sites.groupBy("col", "row", "usage").agg(copies.alias("copies"))
-    labels = masks.select("col", "row", "mask").join(listed, ["col", "row"])
-    return explode_tiles(
-        frame.join(labels, ["col", "row"]), ["mask", *names], layout.tile_cols,
-        ["col", "row", "usage", "copies"],
-    )
+    site_columns = ["usage", "copies"]
+    frame = features(
+        tiles, pairs.join(listed, ["col", "row"]), layout, seasons, bands,
+        layers={"mask": masks}, carry=site_columns, **reading,
+    ).where("mask is not null")
+    pixels = explode_tiles(frame, ["mask", *names], layout.tile_cols, ["col", "row", *site_columns])
+    return pixels.withColumn("mask", F.col("mask").cast("int"))

@@ -7,8 +7,9 @@ single shuffle of imagery.
 """
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +138,8 @@ def _push(tiles, targets, keys, seasons, bands, x, y) -> DataFrame:
         "season", "scene_id", "s_col", "s_row", *bands, F.explode(x.targets("s_col")).alias("col")
     ).withColumn("row", F.explode(y.targets("s_row")))
     pieces = _pieces(sent, ["col", "row", "scene_id"], bands, x, y).alias("p")
-    wanted = targets.alias("t")
+    # Hashing the keys of the targets spares a sort of the imagery.
+    wanted = targets.hint("shuffle_hash").alias("t")
     same_scene = reduce(
         lambda otherwise, s: F.when(F.col("p.season") == s, F.col(f"t.{s}")).otherwise(otherwise),
         seasons,
@@ -152,6 +154,15 @@ def _push(tiles, targets, keys, seasons, bands, x, y) -> DataFrame:
     return joined.select(*[F.col(f"t.{k}") for k in keys], "p.season", "left", "top", "width", *bands)
 
 
+def _with_layers(pieces, layers, targets, keys, few) -> DataFrame:
+    """Append the tiles of the extra layers, each in a column of its own."""
+    wanted = F.broadcast(targets) if few else targets.hint("shuffle_hash")
+    for name, layer in layers.items():
+        tiles = layer.select("col", "row", name).join(wanted, ["col", "row"]).select(*keys, name)
+        pieces = pieces.unionByName(tiles, allowMissingColumns=True)
+    return pieces
+
+
 def window_map(
     tiles: DataFrame,
     targets: DataFrame,
@@ -163,6 +174,8 @@ def window_map(
     buffer: int = 0,
     grid: SourceGrid = SourceGrid(),
     method: str = "bilinear",
+    layers: Mapping[str, DataFrame] = MappingProxyType({}),
+    carry: Sequence[str] = (),
     max_broadcast: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Apply ``compute`` to the buffered window of every target cell.
@@ -175,43 +188,51 @@ def window_map(
             NaN for nodata, and returns named two-dimensional arrays.
         outputs: names of all arrays that ``compute`` returns over the seasons.
         grid, method: where the imagery's pixels lie, and how to resample them.
+        layers: further rasters on the layout's own pixels, such as label masks: ``col, row``
+            and an array column of the given name, unique per cell. They join the same groups.
+        carry: columns of ``targets`` to keep in the result.
 
     Returns:
-        The target keys and one dense array column per output, NULL for nodata.
+        The target keys, the carried columns, and one dense array column per output and
+        layer, NULL for nodata. The array of a layer without a tile is NULL.
     """
     x, y = _axes(layout, grid, buffer)
-    keys = ["col", "row", *seasons]
+    keys = ["col", "row", *seasons, *carry]
     # Only keys, written once: counted here and read again by the join.
     wanted = materialize(targets.select(*keys).distinct(), "targets")
     few = wanted.count() * len(seasons) * 9 <= max_broadcast
     pieces = (_pull if few else _push)(tiles, wanted, keys, seasons, bands, x, y)
-    aligned, count = grid.aligned, len(bands)
+    pieces = _with_layers(pieces, layers, wanted, keys, few)
+    aligned, count, extra = grid.aligned, len(bands), list(layers)
+    names = [*keys, *outputs, *extra]
     schema = T.StructType(
-        [T.StructField("col", T.LongType()), T.StructField("row", T.LongType())]
-        + [T.StructField(s, T.StringType()) for s in seasons]
-        + [T.StructField(o, T.ArrayType(T.DoubleType())) for o in outputs]
-    )
-    arrow_schema = pa.schema(
-        [("col", pa.int64()), ("row", pa.int64())]
-        + [(s, pa.string()) for s in seasons]
-        + [(o, pa.list_(pa.float64())) for o in outputs]
+        [wanted.schema[k] for k in keys]
+        + [T.StructField(o, T.ArrayType(T.DoubleType())) for o in (*outputs, *extra)]
     )
 
+    def split(lists):
+        """The values of a list column, one array per row; empty for NULL."""
+        values = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+        lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        return np.split(values, np.cumsum(lengths)[:-1])
+
     def build(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         col, row = key[0].as_py(), key[1].as_py()
         canvas = {
             s: np.full((count, y.length(row), x.length(col)), np.nan) for s in seasons
         }
+        results = dict.fromkeys(extra)
         for batch in batches:
             place = list(zip(*[batch.column(c).to_pylist() for c in ("season", "left", "top", "width")]))
             for band, name in enumerate(bands):
-                lists = batch.column(name)
-                cells = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
-                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-                for (season, left, top, width), part in zip(place, np.split(cells, ends[:-1])):
-                    part = part.reshape(-1, width)
-                    canvas[season][band, top : top + part.shape[0], left : left + width] = part
-        results = {}
+                for (season, left, top, width), part in zip(place, split(batch.column(name))):
+                    if part.size:
+                        part = part.reshape(-1, width)
+                        canvas[season][band, top : top + part.shape[0], left : left + width] = part
+            for name in extra:
+                for part in split(batch.column(name)):
+                    if part.size:
+                        results[name] = part
         for season, pixels in canvas.items():
             if not aligned:
                 pixels = kernels.resample(
@@ -220,14 +241,16 @@ def window_map(
                     kernels.axis_weights(x.positions(col), pixels.shape[2], method),
                 )
             results.update(compute(season, pixels))
-        arrays = [
-            pa.ListArray.from_arrays(
-                pa.array([0, results[o].size], pa.int32()),
-                pa.array(np.ascontiguousarray(results[o], dtype=float).ravel(), from_pandas=True),
-            )
-            for o in outputs
-        ]
-        identity = [pa.array([k.as_py()], t) for k, t in zip(key, arrow_schema.types)]
-        yield pa.RecordBatch.from_arrays(identity + arrays, schema=arrow_schema)
+
+        def column(a):
+            if a is None:
+                return pa.nulls(1, pa.list_(pa.float64()))
+            values = pa.array(np.ascontiguousarray(a, dtype=float).ravel(), from_pandas=True)
+            return pa.ListArray.from_arrays(pa.array([0, a.size], pa.int32()), values)
+
+        identity = [pa.array([k.as_py()], k.type) for k in key]
+        yield pa.RecordBatch.from_arrays(
+            identity + [column(results[o]) for o in (*outputs, *extra)], names=names
+        )
 
     return pieces.groupBy(*keys).applyInArrow(build, schema)
