@@ -34,11 +34,17 @@ def test_malformed_labels_count_as_unlabelled(spark, tmp_path):
     assert sites.current_iteration(incoming, 0).first()[0] == 4
 
 
-def test_outer_join_with_a_usage_filter_becomes_inner(spark):
-    pool = spark.createDataFrame([("a", 0, 0)], "name string, col bigint, row bigint")
-    rows = spark.createDataFrame([("a", "train")], "name string, usage string")
-    plan = sites.sites_with_usage(pool, rows).where("usage = 'train'")
-    assert "Join Inner" in plan._jdf.queryExecution().optimizedPlan().toString()
+def test_sites_with_usage_is_a_left_join(spark):
+    pool = spark.createDataFrame([(n, i, 0) for i, n in enumerate("abc")], "name string, col bigint, row bigint")
+    rows = spark.createDataFrame(
+        [("a", "train"), ("a", "train"), ("b", None), ("x", "train")], "name string, usage string"
+    )
+    got = sites.sites_with_usage(pool, rows)
+    expected = pool.join(rows, "name", "left")
+    assert sorted(got.collect(), key=str) == sorted(expected.select(*got.columns).collect(), key=str)
+    # A filter on the usage drops the never-listed sites from the plan.
+    plan = got.where("usage = 'train'")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "LeftAnti" not in plan
 
 
 def test_scene_sites_are_whole_scenes_without_repeats(spark):

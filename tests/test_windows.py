@@ -164,7 +164,7 @@ def test_layers_join_the_group(spark, tiles, targets, max_broadcast):
 def test_resampling_against_brute_force(tiles, targets, grid, method, max_broadcast):
     image = IMAGES["OS", "all"]
     height, width = image.shape[1:]
-    got = resample(tiles, targets, "OS", LAYOUT, grid, method, BANDS, max_broadcast=max_broadcast)
+    got = resample(tiles, targets, LAYOUT, grid, method, ["OS"], BANDS, max_broadcast=max_broadcast)
     rows = got.collect()
     assert rows
     for r in rows:

@@ -1,7 +1,8 @@
 """Neighbourhood statistics and the per-cell feature frame."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,59 +18,67 @@ MEAN_WINDOW = 11
 STDDEV_WINDOW = 5
 
 
-def _outputs(kind: str, seasons: Sequence[str], bands: Sequence[int]) -> list[str]:
-    return [f"{s}_{kind}_{b}" for s in seasons for b in bands]
-
-
-def buffered_windows(tiles, targets, season, layout, buffer=HALO, bands=BANDS, **reading) -> DataFrame:
-    """Each target cell with ``buffer`` more pixels on every side, in tile form."""
+def _statistic(
+    tiles: DataFrame,
+    targets: DataFrame,
+    layout: Layout,
+    kind: str,
+    buffer: int,
+    kernel: Callable[[np.ndarray], np.ndarray],
+    seasons: Sequence[str],
+    bands: Sequence[int],
+    **reading,
+) -> DataFrame:
+    """One array per season and band, named ``<season>_<kind>_<band>``, for each target."""
 
-    def compute(s, a):
-        return {f"{s}_raw_{b}": a[i] for i, b in enumerate(bands)}
+    def compute(season, a):
+        return {f"{season}_{kind}_{b}": v for b, v in zip(bands, kernel(a))}
 
+    outputs = [f"{s}_{kind}_{b}" for s in seasons for b in bands]
     return window_map(
-        tiles, targets, [season], band_columns(bands), layout, compute,
-        _outputs("raw", [season], bands), buffer=buffer, **reading,
+        tiles, targets, list(seasons), band_columns(bands), layout, compute, outputs,
+        buffer=buffer, **reading,
     )
 
 
-def focal_means(tiles, targets, season, layout, size=MEAN_WINDOW, bands=BANDS, **reading) -> DataFrame:
+def buffered_windows(
+    tiles, targets, layout, buffer=HALO, seasons=SEASONS, bands=BANDS, **reading
+) -> DataFrame:
+    """Each target cell with ``buffer`` more pixels on every side, in tile form."""
+    return _statistic(tiles, targets, layout, "raw", buffer, lambda a: a, seasons, bands, **reading)
+
+
+def focal_means(
+    tiles, targets, layout, size=MEAN_WINDOW, seasons=SEASONS, bands=BANDS, **reading
+) -> DataFrame:
     """Mean over ``size`` x ``size`` pixels around each pixel of the target cells."""
 
-    def compute(s, a):
-        return {f"{s}_avg_{b}": v for b, v in zip(bands, kernels.focal_mean(a, size))}
+    def kernel(a):
+        return kernels.focal_mean(a, size)
 
-    return window_map(
-        tiles, targets, [season], band_columns(bands), layout, compute,
-        _outputs("avg", [season], bands), buffer=size // 2, **reading,
-    )
+    return _statistic(tiles, targets, layout, "avg", size // 2, kernel, seasons, bands, **reading)
 
 
-def focal_stddevs(tiles, targets, season, layout, size=STDDEV_WINDOW, bands=BANDS, **reading) -> DataFrame:
+def focal_stddevs(
+    tiles, targets, layout, size=STDDEV_WINDOW, seasons=SEASONS, bands=BANDS, **reading
+) -> DataFrame:
     """Population standard deviation over ``size`` x ``size`` pixels around each pixel."""
 
-    def compute(s, a):
-        return {f"{s}_std_{b}": v for b, v in zip(bands, kernels.focal_stddev(a, size))}
+    def kernel(a):
+        return kernels.focal_stddev(a, size)
 
-    return window_map(
-        tiles, targets, [season], band_columns(bands), layout, compute,
-        _outputs("std", [season], bands), buffer=size // 2, **reading,
-    )
+    return _statistic(tiles, targets, layout, "std", size // 2, kernel, seasons, bands, **reading)
 
 
 def focal_slopes(
-    tiles, targets, season, layout, pixel_width=1.0, pixel_height=1.0, bands=BANDS, **reading
+    tiles, targets, layout, pixel_width=1.0, pixel_height=1.0, seasons=SEASONS, bands=BANDS, **reading
 ) -> DataFrame:
     """Slope in degrees of each band taken as a surface; needs all eight neighbours."""
 
-    def compute(s, a):
-        slopes = kernels.slope(a, pixel_width, pixel_height)
-        return {f"{s}_slope_{b}": v for b, v in zip(bands, slopes)}
+    def kernel(a):
+        return kernels.slope(a, pixel_width, pixel_height)
 
-    return window_map(
-        tiles, targets, [season], band_columns(bands), layout, compute,
-        _outputs("slope", [season], bands), buffer=1, **reading,
-    )
+    return _statistic(tiles, targets, layout, "slope", 1, kernel, seasons, bands, **reading)
 
 
 def features(

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from tilecast.functions.columns import BANDS
+from tilecast.functions.columns import BANDS, SEASONS
 from tilecast.layout import Layout, SourceGrid
 from tilecast.operators.focal import buffered_windows
 
@@ -12,10 +12,10 @@ from tilecast.operators.focal import buffered_windows
 def resample(
     tiles: DataFrame,
     targets: DataFrame,
-    season: str,
     layout: Layout,
     grid: SourceGrid,
     method: str = "bilinear",
+    seasons: Sequence[str] = SEASONS,
     bands: Sequence[int] = BANDS,
     **reading,
 ) -> DataFrame:
@@ -24,5 +24,5 @@ def resample(
     Source pixels without data are left out and the remaining weights rescaled.
     """
     return buffered_windows(
-        tiles, targets, season, layout, buffer=0, bands=bands, grid=grid, method=method, **reading
+        tiles, targets, layout, 0, seasons, bands, grid=grid, method=method, **reading
     )

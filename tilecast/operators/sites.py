@@ -31,19 +31,25 @@ def current_iteration(incoming: DataFrame, run: int) -> DataFrame:
 
 def unlabelled_sites(pool: DataFrame, labelled_rows: DataFrame) -> DataFrame:
     """Pool sites that nobody has labelled yet."""
-    return pool.join(labelled_rows.select("name"), "name", "left_anti").select(
-        *pool.columns, F.lit("test").alias("usage")
-    )
+    return _never_listed(pool, labelled_rows).select(*pool.columns, F.lit("test").alias("usage"))
+
+
+def _never_listed(pool: DataFrame, rows: DataFrame) -> DataFrame:
+    # Distinct names are combined map-side: a name on a third of all rows arrives only once.
+    return pool.join(rows.select("name").distinct(), "name", "left_anti")
 
 
 def sites_with_usage(pool: DataFrame, labelled_rows: DataFrame) -> DataFrame:
     """Every pool site with the usage of its labelled rows.
 
     A site listed several times comes out several times; a site never listed has no usage.
+    This left join is written as an inner join, whose hot names Spark can split at run time,
+    and the sites that are missing from it.
     """
-    return pool.select("name", "col", "row").join(
-        labelled_rows.select("name", "usage"), "name", "left"
-    )
+    places = pool.select("name", "col", "row")
+    listed = labelled_rows.select("name", "usage").join(places, "name")
+    missing = _never_listed(places, labelled_rows).withColumn("usage", F.lit(None).cast("string"))
+    return listed.select("name", "col", "row", "usage").unionByName(missing)
 
 
 def all_sites(pool: DataFrame, qs: DataFrame) -> DataFrame:

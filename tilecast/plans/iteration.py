@@ -131,21 +131,24 @@ class Iteration:
             s.run, self.next_iteration, s.seed, s.worst_share,
         )
 
+    def every_site(self) -> DataFrame:
+        """Sites of both lists; repeated entries would only repeat the same images."""
+        return all_sites(self.inputs.pool.distinct(), self.inputs.qs.distinct())
+
     def image_sites(self, images: int) -> DataFrame:
         """Sites of all scenes that cover a random choice of about ``images`` test cells."""
         tests = self.test_sites()
         sample = bernoulli_sample(
             tests, min(1.0, images / max(tests.count(), 1)), self.settings.seed, ["col", "row"]
         )
-        sites = all_sites(self.inputs.pool, self.inputs.qs)
-        return scene_sites(sample, self.inputs.catalog, sites)
+        return scene_sites(sample, self.inputs.catalog, self.every_site())
 
     def images(self, model: PipelineModel, images: int | None = None) -> DataFrame:
         """Coarse probability tiles around ``images`` sampled cells, or of every site if None."""
         s = self.settings
         pairs = self.pairs
         if images is None:
-            sites = all_sites(self.inputs.pool, self.inputs.qs)
+            sites = self.every_site()
             if self.inputs.full_catalog is not None:
                 pairs = season_pairs(self.inputs.full_catalog, "scene_id")
         else:

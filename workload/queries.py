@@ -78,20 +78,24 @@ def _with_pixel_position(df: DataFrame) -> DataFrame:
     return df.withColumns(LAYOUT.global_pixel()).drop("col", "row", *PIXEL)
 
 
-def _both_seasons(fx: Fixtures, build: Callable[[DataFrame, DataFrame, str], DataFrame], kind: str, out: str) -> DataFrame:
-    """Run a one-season operator for both seasons and name its outputs alike."""
-    imagery_tiles = materialize(fx.tiles(), "tiles")
-    parts = []
-    for season in fn.SEASONS:
-        frame = build(imagery_tiles, _targets(fx, season), season)
-        values = [f"{season}_{kind}_{b}" for b in fn.BANDS]
-        names = [f"{out}{b}" for b in fn.BANDS]
-        frame = frame.select(
-            F.lit(season).alias("season"), F.col(season).alias("scene_id"), *CELL,
-            *[F.col(v).alias(n) for v, n in zip(values, names)],
+def _scenes(fx: Fixtures) -> DataFrame:
+    """The scene of each season per cell, NULL where a season has none."""
+    one, other = (_targets(fx, season) for season in fn.SEASONS)
+    return one.join(other, CELL, "outer")
+
+
+def _by_season(frame: DataFrame, kind: str, out: str) -> DataFrame:
+    """One row per season, with the season's arrays under names without the season."""
+    seasons = [
+        F.struct(
+            F.lit(s).alias("season"), F.col(s).alias("scene_id"),
+            *[F.col(f"{s}_{kind}_{b}").alias(f"{out}{b}") for b in fn.BANDS],
         )
-        parts.append(frame)
-    return parts[0].unionByName(parts[1])
+        for s in fn.SEASONS
+    ]
+    return frame.select(*CELL, F.explode(F.array(*seasons)).alias("_s")).select(*CELL, "_s.*").where(
+        "scene_id is not null"
+    )
 
 
 def _pixels(frame: DataFrame, out: str) -> DataFrame:
@@ -333,18 +337,14 @@ def layout_geometry(fx):
 
 @query
 def halo_window(fx):
-    frame = _both_seasons(
-        fx, lambda t, cells, s: focal.buffered_windows(t, cells, s, LAYOUT), "raw", "b"
-    )
-    pixels = tiles.explode_tiles(frame, BANDS, TILE + 2 * focal.HALO)
+    frame = focal.buffered_windows(fx.tiles(), _scenes(fx), LAYOUT)
+    pixels = tiles.explode_tiles(_by_season(frame, "raw", "b"), BANDS, TILE + 2 * focal.HALO)
     return pixels.withColumns({c: F.col(c) - focal.HALO for c in PIXEL})
 
 
 def _resampled(fx: Fixtures, grid: SourceGrid, method: str) -> DataFrame:
-    frame = _both_seasons(
-        fx, lambda t, cells, s: resample(t, cells, s, LAYOUT, grid, method), "raw", "b"
-    )
-    return _pixels(frame, "b")
+    frame = resample(fx.tiles(), _scenes(fx), LAYOUT, grid, method)
+    return _pixels(_by_season(frame, "raw", "b"), "b")
 
 
 @query
@@ -365,22 +365,20 @@ def erode_tile(fx):
 
 @query
 def focal_mean(fx):
-    frame = _both_seasons(fx, lambda t, cells, s: focal.focal_means(t, cells, s, LAYOUT), "avg", "avg_")
-    return _pixels(frame, "avg_")
+    frame = focal.focal_means(fx.tiles(), _scenes(fx), LAYOUT)
+    return _pixels(_by_season(frame, "avg", "avg_"), "avg_")
 
 
 @query
 def focal_stddev(fx):
-    frame = _both_seasons(fx, lambda t, cells, s: focal.focal_stddevs(t, cells, s, LAYOUT), "std", "std_")
-    return _pixels(frame, "std_")
+    frame = focal.focal_stddevs(fx.tiles(), _scenes(fx), LAYOUT)
+    return _pixels(_by_season(frame, "std", "std_"), "std_")
 
 
 @query
 def focal_slope(fx):
-    frame = _both_seasons(
-        fx, lambda t, cells, s: focal.focal_slopes(t, cells, s, LAYOUT, 30.0, 30.0), "slope", "slope_"
-    )
-    return _pixels(frame, "slope_")
+    frame = focal.focal_slopes(fx.tiles(), _scenes(fx), LAYOUT, 30.0, 30.0)
+    return _pixels(_by_season(frame, "slope", "slope_"), "slope_")
 
 
 @query
