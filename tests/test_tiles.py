@@ -86,3 +86,16 @@ def test_overviews_take_upper_left_pixels(spark):
     assert all(r.v == r.gy * r.factor * 8 + r.gx * r.factor for r in got)
     plan = T.overviews(pixels, [2, 4])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_publication_shuffles_pixels_once(spark):
+    from tilecast.sources.publish import probability_tiles
+
+    scored = spark.range(36).selectExpr(
+        "id % 2 as col", "0L as row", "cast(id % 3 as int) as column_index",
+        "cast(id div 18 as int) as row_index", "id / 36.0D as p_field",
+    )
+    plan = probability_tiles(scored, LAYOUT, factor=2, unique=True)._jdf.queryExecution().executedPlan().toString()
+    # Pixels to their cell with map-side collection, then tiles to their coarse cell.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "partial_collect_list" in plan

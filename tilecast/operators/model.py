@@ -16,6 +16,9 @@ TREES = 60
 MAX_DEPTH = 15
 SUBSAMPLING = 0.1
 
+#: Most rows of training data in one partition.
+MAX_PARTITION_ROWS = 2_000_000
+
 
 def drop_nodata(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a value in each of ``columns`` that the frame has."""
@@ -63,15 +66,17 @@ def train(
 ) -> PipelineModel:
     """Fit the forest on the rows that have all features and a label.
 
-    ``spread_by`` names row keys by which rows are spread evenly over ``partitions`` (default:
-    all cores) before the many passes of training; the same keys, seed and number of
-    partitions give the same forest.
+    ``spread_by`` names row keys by which rows are spread evenly over ``partitions`` before the
+    many passes of training. By default there is one partition per core, and more if that
+    would exceed ``MAX_PARTITION_ROWS``. The same keys, seed and number of partitions give the
+    same forest.
     """
     rows = drop_nodata(df, [*features, label]).withColumn(label, F.col(label).cast("double"))
     weight = options.get("weight")
     rows = rows.select(*spread_by, *features, label, *([weight] if weight else []))
     if spread_by:
-        n = partitions or df.sparkSession.sparkContext.defaultParallelism
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n = partitions or max(cores, -(-rows.count() // MAX_PARTITION_ROWS))
         rows = rows.repartition(n, *spread_by)
     return pipeline(features, label, **options).fit(rows)
 

@@ -14,8 +14,8 @@ from tilecast.runtime import materialize
 SLICE_ROWS = 1_000_000
 MAX_SLICES = 10_000
 
-#: Up to this many rows, sort-and-limit keeps its heap of rows in one task.
-MAX_LIMIT_ROWS = 100_000
+#: Up to this many rows, sort-and-limit is used: every task sends that many rows to a last one.
+MAX_LIMIT_ROWS = 1_000
 
 
 def running_totals(

@@ -86,31 +86,27 @@ def erode_tile(cells: str | Column, tile_cols: int, tile_rows: int, border: int)
 def retile(tiles: DataFrame, values: Sequence[str], layout: Layout, factor: int) -> DataFrame:
     """Join ``factor`` x ``factor`` cells into one tile of the coarser layout.
 
-    At most ``factor`` squared tiles meet in a group. Cells without a tile are NULL.
+    Tiles are unique per cell (a repeated one is an error), so at most ``factor`` squared meet
+    in a group. Cells without a tile are NULL.
     """
     width, height, size = layout.tile_cols, layout.tile_rows, layout.tile_size
     kinds = {f.name: f.dataType.elementType.simpleString() for f in tiles.schema.fields if f.name in values}
     keys = [c for c in tiles.columns if c not in values and c not in ("col", "row")]
     col, row = F.col("col"), F.col("row")
-    grouped = (
-        tiles.groupBy(
-            *keys,
-            F.floor(col / F.lit(factor)).cast("bigint").alias("_col"),
-            F.floor(row / F.lit(factor)).cast("bigint").alias("_row"),
-            (F.pmod(row, F.lit(factor)) * factor + F.pmod(col, F.lit(factor))).cast("int").alias("pos"),
-        )
-        .agg(*[F.max(v).alias(v) for v in values])
-        .groupBy(*keys, F.col("_col").alias("col"), F.col("_row").alias("row"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("pos", F.struct(*values)))).alias("_parts"))
-    )
+    place = (F.pmod(row, F.lit(factor)) * factor + F.pmod(col, F.lit(factor))).cast("int")
+    grouped = tiles.groupBy(
+        *keys,
+        F.floor(col / F.lit(factor)).cast("bigint").alias("_col"),
+        F.floor(row / F.lit(factor)).cast("bigint").alias("_row"),
+    ).agg(F.map_from_entries(F.collect_list(F.struct(place, F.struct(*values)))).alias("_parts"))
+    grouped = grouped.withColumnsRenamed({"_col": "col", "_row": "row"})
 
     def joined(value: str) -> Column:
         blank = F.array_repeat(F.lit(None).cast(kinds[value]), size)
-        parts = F.transform(
+        return F.transform(
             F.sequence(F.lit(0), F.lit(factor * factor - 1)),
             lambda i: F.coalesce(F.col("_parts")[i][value], blank),
         )
-        return parts
 
     def rows_of(parts: Column) -> Column:
         return F.flatten(
