@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,14 +98,13 @@ def retile(tiles: DataFrame, values: Sequence[str], layout: Layout, factor: int)
         *keys,
         F.floor(col / F.lit(factor)).cast("bigint").alias("_col"),
         F.floor(row / F.lit(factor)).cast("bigint").alias("_row"),
-    ).agg(F.map_from_entries(F.collect_list(F.struct(place, F.struct(*values)))).alias("_parts"))
-    grouped = grouped.withColumnsRenamed({"_col": "col", "_row": "row"})
+    ).agg(F.collect_list(F.struct(place, F.struct(*values))).alias("_entries"))
 
-    def joined(value: str) -> Column:
+    def parts_of(by_place: Column, value: str) -> Column:
         blank = F.array_repeat(F.lit(None).cast(kinds[value]), size)
         return F.transform(
             F.sequence(F.lit(0), F.lit(factor * factor - 1)),
-            lambda i: F.coalesce(F.col("_parts")[i][value], blank),
+            lambda i: F.coalesce(by_place[i][value], blank),
         )
 
     def rows_of(parts: Column) -> Column:
@@ -125,8 +124,22 @@ def retile(tiles: DataFrame, values: Sequence[str], layout: Layout, factor: int)
             )
         )
 
-    parts = grouped.select(*keys, "col", "row", *[joined(v).alias(v) for v in values])
-    return parts.select(*keys, "col", "row", *[rows_of(F.col(v)).alias(v) for v in values])
+    def joined(value: str) -> Column:
+        by_place = F.map_from_entries("_entries")
+        return _bind(_bind(by_place, lambda m: parts_of(m, value)), rows_of)
+
+    return grouped.select(
+        *keys, F.col("_col").alias("col"), F.col("_row").alias("row"),
+        *[joined(v).alias(v) for v in values],
+    )
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` looks at it.
+
+    Inside a lambda a plain expression would be computed again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def overview_factors(size: int) -> list[int]:
