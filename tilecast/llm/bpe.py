@@ -65,12 +65,6 @@ class Merges:
         left, right = self.byte[:, None], self.byte[None, :]
         self.first[left, right] = self.rank(left + 0 * right, right + 0 * left)
 
-    @classmethod
-    def read(cls, path: str) -> Merges:
-        """From a file with a base64 token and its rank on every line."""
-        with open(path, "rb") as lines:
-            return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)})
-
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the joined pairs, or -1."""
         key = left * self.size + right
@@ -192,6 +186,12 @@ class Merges:
         return [i for i in ids if i >= 0]
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """From a file with a base64 token and its rank on every line."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
 def chunks(text: str) -> list[str]:
     """Cut at spaces between two characters that are no white space.
 
@@ -241,7 +241,7 @@ class Encoder:
         return [" ".join([head, *map(of, parts)] if head else map(of, parts)) for head, parts in zip(starts, cut)]
 
 
-def decode(ids: Iterable[int], tokens: Sequence[bytes]) -> bytes:
+def decode(ids: Iterable[int], tokens) -> bytes:
     return b"".join([tokens[i] for i in ids])
 
 
@@ -253,15 +253,14 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: Sequence[str] = ("doc
     text counts as empty: no tokens, digests of nothing. No shuffle; the vocabulary, read at
     ``path`` on the driver, is the only thing sent to the executors, and its size is fixed.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Merges.read(path))
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": read_ranks(path)})
 
     def make():
-        merges = shared.value
-        # A worker keeps the broadcast value, and with it the encoder, from task to task.
-        encoder = merges.__dict__.get("encoder") or merges.__dict__.setdefault("encoder", Encoder(merges, pattern))
-        tokens = merges.tokens
+        held = shared.value  # a worker keeps it, and with it the encoder, from task to task
+        encoder = held.get("encoder") or held.setdefault("encoder", Encoder(Merges(held["ranks"]), pattern))
+        tokens = encoder.merges.tokens
 
-        def compute(texts: list[bytes]) -> list:
+        def compute(texts: list[bytes], _) -> list:
             counts, id_digests, digests, all_ids = [], [], [], []
             for text, joined in zip(texts, encoder([t.decode("utf-8", "replace") for t in texts])):
                 ids = np.fromstring(joined, np.int32, sep=" ") if joined else np.empty(0, np.int32)
@@ -283,11 +282,11 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: Sequence[str] = ("doc
 
 def decode_ids(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Adds ``decoded`` (binary) to a table with token ids; null ids give null."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Merges.read(path))
+    shared = encoded.sparkSession.sparkContext.broadcast({rank: token for token, rank in read_ranks(path).items()})
     names = list(encoded.columns)
 
     def run(batches):
-        tokens = shared.value.tokens
+        tokens = shared.value
         for batch in batches:
             out = [None if x is None else decode(x, tokens) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])

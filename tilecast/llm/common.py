@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,13 +39,13 @@ def map_text(
     keep: Sequence[str],
     text: str,
     schema: str,
-    make: Callable[[], Callable[[list[bytes]], list]],
+    make: Callable[[], Callable[[list[bytes], pa.RecordBatch], list]],
     limit: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Compute columns from a text column, in place and without a shuffle.
 
     ``make`` is called once per task; what it returns gets a list of UTF-8 texts (null: empty)
-    and returns the new columns, as arrays or lists, in the order of ``schema``.
+    and the batch with the kept columns, and returns the new columns in the order of ``schema``.
     """
     kept = df.select(*keep)
     fields = [f.split()[0] for f in schema.split(",")]
@@ -56,10 +57,29 @@ def map_text(
             for part in slices(batch, "_text", limit):
                 compute = compute or make()
                 texts = [t or b"" for t in part.column("_text").cast(pa.binary()).to_pylist()]
-                columns = compute(texts)
+                columns = compute(texts, part)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), *map(pa.array, columns)],
                     names=[*keep, *fields],
                 )
 
     return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, full)
+
+
+def joined_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes in one array, and the text that each byte belongs to."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    return data, np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+
+
+def hashed_ngrams(data: np.ndarray, text_of: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(text, bucket)`` of every run of ``n`` (at most 8) bytes inside a text."""
+    if len(data) < n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    packed = data[: len(data) - n + 1].astype(np.uint64)
+    for i in range(1, n):
+        packed = (packed << np.uint64(8)) | data[i : len(data) - n + 1 + i]
+    packed = (packed ^ np.uint64(n << 60)) * np.uint64(0xBF58476D1CE4E5B9)
+    packed = (packed ^ (packed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    inside = text_of[: len(packed)] == text_of[n - 1 :]
+    return text_of[: len(packed)][inside], (packed >> np.uint64(64 - bits)).astype(np.int64)[inside]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilecast.llm import bpe, mixing, simhash, tokencount, topk
+from tilecast.llm import bpe, mixing, perplexity, simhash, tokencount, topk, toxicity, weaklabels
 from tilecast.runtime import shared_path
 
 
@@ -16,6 +16,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.classify(_table(spark, sf_dir, "documents"), labels, threshold=0.7)
+
+
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "perplexity", "lower_band", "upper_band",
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(_table(spark, sf_dir, "documents"), share=1.5, most=2.0)
     return planned.select(
@@ -23,6 +35,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weaklabels.judge(_table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -48,4 +64,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op5_bpe, op6_simhash, op8_token_counts, op10_topk)}
+    found = (
+        op1_toxicity, op2_perplexity, op3_mixing, op4_weak_labels, op5_bpe, op6_simhash, op8_token_counts, op10_topk,
+    )
+    return {f.__name__: f for f in found}

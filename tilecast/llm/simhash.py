@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame
     """``doc_id, fp`` (bigint) of every document; null text counts as empty."""
 
     def make():
-        return lambda texts: [pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())]
+        return lambda texts, _: [pa.array([fingerprint(t, shingle, seed) for t in texts], pa.int64())]
 
     return map_text(docs, ["doc_id"], "text", "fp bigint", make)
 
@@ -227,6 +227,7 @@ def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, blocks
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     linked = named.join(least, "root").select("fp", F.col("least").alias("component_id"))
     label = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    label = broadcast_if_small(materialize(label, "simhash-labels"))
     return fps.join(label, "fp").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 

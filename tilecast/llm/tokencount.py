@@ -133,6 +133,6 @@ def _encode(docs: DataFrame, keyed: DataFrame, misses: DataFrame, digest: Column
     def make():
         held = shared.value  # kept by a worker from task to task
         counter = held.get("counter") or held.setdefault("counter", Counter(held["definition"]))
-        return lambda texts: [pa.array(counter([t.decode("utf-8", "replace") for t in texts]), pa.int64())]
+        return lambda texts, _: [pa.array(counter([t.decode("utf-8", "replace") for t in texts]), pa.int64())]
 
     return map_text(todo.withColumnRenamed("_digest", "digest"), ["digest"], "_text", "n_tokens bigint", make)
