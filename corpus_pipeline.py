@@ -11,12 +11,17 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import tilecast
-from tilecast.llm import bpe, mixing, simhash
+from tilecast.llm import bpe, mixing, perplexity, simhash
 from tilecast.runtime import materialize
 
 cloudpickle.register_pickle_by_value(tilecast)
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the counts or lie outside their language's perplexity bands go."""
+    return perplexity.keep_good(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays."""
     return simhash.deduplicate(docs, distance=4, shingle=4)
@@ -34,6 +39,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_duplicates),
     ("source_mixing", mixed),
     ("bpe_tokens", encoded),
