@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilecast.llm import bpe, mixing, perplexity, simhash, tokencount, topk, toxicity, weaklabels
+from tilecast.llm import bpe, mixing, perplexity, privacy, simhash, tokencount, topk, toxicity, weaklabels
 from tilecast.runtime import shared_path
 
 
@@ -48,6 +48,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), distance=4, shingle=4)
 
 
+def op7_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A cache of its own for every run, so that each run counts all texts.
     counts = tokencount.count_tokens(
@@ -65,6 +69,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_toxicity, op2_perplexity, op3_mixing, op4_weak_labels, op5_bpe, op6_simhash, op8_token_counts, op10_topk,
+        op1_toxicity, op2_perplexity, op3_mixing, op4_weak_labels, op5_bpe, op6_simhash, op7_privacy,
+        op8_token_counts, op10_topk,
     )
     return {f.__name__: f for f in found}
