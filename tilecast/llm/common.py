@@ -83,3 +83,41 @@ def hashed_ngrams(data: np.ndarray, text_of: np.ndarray, n: int, bits: int) -> t
     packed = (packed ^ (packed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
     inside = text_of[: len(packed)] == text_of[n - 1 :]
     return text_of[: len(packed)][inside], (packed >> np.uint64(64 - bits)).astype(np.int64)[inside]
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    """Spread 64-bit numbers."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of complete groups from batches sorted by an integer key that has no nulls."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        if not table.num_rows:
+            continue
+        keys = table[key].to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield table.slice(0, cut)
+        rest = table.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def blobs(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Binary values: consecutive parts of an array, each from one start to the next."""
+    ends = np.append(starts[1:], len(values))
+    offsets = np.append(starts, ends[-1] if len(ends) else 0).astype(np.int64) * values.itemsize
+    data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), data])
+
+
+def unblob(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of binary rows, one after another, and how many each row has."""
+    parts = [np.frombuffer(x, kind) for x in column.to_pylist()]
+    return np.concatenate([*parts, np.empty(0, kind)]), np.array([len(x) for x in parts], np.int64)

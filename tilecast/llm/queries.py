@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilecast.llm import bpe, mixing, perplexity, privacy, simhash, tokencount, topk, toxicity, weaklabels
+from tilecast.llm import bpe, mixing, perplexity, privacy, repeats, simhash, tokencount, topk, toxicity, weaklabels
 from tilecast.runtime import shared_path
 
 
@@ -62,6 +62,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(_table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
@@ -70,6 +74,6 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_toxicity, op2_perplexity, op3_mixing, op4_weak_labels, op5_bpe, op6_simhash, op7_privacy,
-        op8_token_counts, op10_topk,
+        op8_token_counts, op9_repeats, op10_topk,
     )
     return {f.__name__: f for f in found}
