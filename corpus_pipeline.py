@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import tilecast
-from tilecast.llm import bpe, mixing, perplexity, simhash
+from tilecast.llm import bpe, mixing, perplexity, privacy, simhash
 from tilecast.runtime import materialize
 
 cloudpickle.register_pickle_by_value(tilecast)
@@ -27,6 +27,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.deduplicate(docs, distance=4, shingle=4)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind, terms that disclose it are generalised or removed."""
+    return privacy.sanitise(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights; a document that is taken twice has two rows."""
     return mixing.mix(docs, share=1.5, most=2.0)
@@ -41,6 +46,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_duplicates),
+    ("personal_data", personal_data),
     ("source_mixing", mixed),
     ("bpe_tokens", encoded),
 ]
