@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tilecast.functions.columns import uniform
+from tilecast.functions.columns import poisson_draw, uniform
 from tilecast.operators import sampling as S
 
 
@@ -79,3 +79,18 @@ def test_unlabelled_rows_count_on_request(rows):
     more = rows.unionByName(rows.withColumn("mask", F.lit(None).cast("int")))
     assert S.balance_rates(more, "mask")[1] == pytest.approx(5.0)
     assert S.balance_rates(more, "mask", keep_unlabelled=True)[1] == pytest.approx(10.0)
+
+
+@pytest.mark.parametrize("mean", [0.1, 3.0, 9.9, 10.0, 11.0, 35.0, 1000.0, 1e6])
+def test_draws_of_any_mean_have_its_moments(rows, mean):
+    drawn = rows.select(poisson_draw(F.lit(mean), 4, "id").alias("n"))
+    r = drawn.agg(F.avg("n"), F.var_pop("n"), F.min("n"), F.skewness("n")).first()
+    assert r[0] == pytest.approx(mean, abs=5 * (mean / 20000) ** 0.5)
+    assert r[1] == pytest.approx(mean, rel=0.06)
+    assert r[2] >= 0 and r[3] == pytest.approx(mean**-0.5, abs=0.12)
+
+
+def test_many_copies_cost_no_more_numbers(rows):
+    listed = rows.withColumn("copies", F.lit(10_000_000))
+    sums = S.balance_weights(listed, "mask", 1, ["id"], copies="copies").agg(F.sum(F.col("drawn").cast("bigint"))).first()[0]
+    assert sums == pytest.approx(20000 * 10_000_000, rel=1e-4)

@@ -106,3 +106,32 @@ def test_no_local_scratch_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         runtime.shared_path(Session(), "x")
+
+
+def test_files_with_different_headers_are_an_error(spark, tmp_path):
+    folder = tmp_path / "sites"
+    folder.mkdir()
+    write(folder / "a.csv", "name,col,row,name_col_row\na,1,2,a_1_2\n")
+    write(folder / "b.csv", "name,row,col,name_col_row\nb,2,1,b_1_2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_sites(spark, str(folder)).collect()
+
+
+def test_sinks_can_be_written_again(spark, tmp_path):
+    tiles = spark.createDataFrame([(0, 0, [1]), (1, 0, [2])], "col bigint, row bigint, value array<tinyint>")
+    folder = str(tmp_path / "maps")
+    for iteration, part in ((1, tiles), (2, tiles), (1, tiles.where("col = 1"))):
+        publish.publish(part, folder, "image_{}_{}_{}_{}_{}.tif", "north", 0, iteration)
+    stored = spark.read.parquet(folder)
+    assert sorted((r["iteration"], r["col"]) for r in stored.collect()) == [(1, 1), (2, 0), (2, 1)]
+    frame = spark.createDataFrame([METRICS_ROW], tables.METRICS)
+    for _ in range(2):
+        tables.write_csv(frame, str(tmp_path / "m"), single_file=True)
+    assert tables.read_metrics(spark, str(tmp_path / "m")).count() == 1
+
+
+def test_usage_counts_join_each_name_once(spark):
+    pool = spark.createDataFrame([(n, i, 0) for i, n in enumerate("abc")], "name string, col bigint, row bigint")
+    rows = spark.createDataFrame([("a", "train")] * 500 + [("b", "validate"), ("x", "train")], "name string, usage string")
+    got = sites.usage_counts(pool, rows)
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 0, 0, "train", 500), ("b", 1, 0, "validate", 1)]

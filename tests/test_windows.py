@@ -232,3 +232,28 @@ def test_masks_of_listed_cells(spark, tmp_path):
     imagery.write_tiles(masks, str(tmp_path / "m"))
     sites = spark.createDataFrame([("x", 1, 0), ("x", 1, 0)], "name string, col bigint, row bigint")
     assert [tuple(r) for r in imagery.read_masks(spark, str(tmp_path / "m"), sites).collect()] == [(1, 0, [0])]
+
+
+def test_many_targets_read_only_the_blocks_they_need(spark, tiles, targets, tmp_path):
+    """Folders are pruned and other tiles dropped before imagery is shuffled."""
+    far = tiles.select("season", "scene_id", (F.col("col") + 100_000).alias("col"), "row", "b1", "b2")
+    path = str(tmp_path / "tiles")
+    imagery.write_tiles(tiles.unionByName(far), path)
+    stored = imagery.read_tiles(spark, path, ["b1", "b2"])
+    wanted = targets.where("col = 0 and row = 0")
+    frame = focal.features(stored, wanted, LAYOUT, bands=BANDS, max_broadcast=0)
+    expected = focal.features(tiles, wanted, LAYOUT, bands=BANDS).collect()
+    plan = executed(frame)
+    assert "dynamicpruningexpression" in plan.lower()
+    below = plan[plan.index("Generate explode") :] if "Generate explode" in plan else plan
+    assert "getbit" in below or "getbit" in plan
+    assert sorted(map(str, frame.collect())) == sorted(map(str, expected))
+
+
+@pytest.mark.parametrize("scale", [0.9, 1.0, 4.0, 10.0])
+def test_bound_on_source_tiles_holds(spark, scale):
+    from tilecast.operators.windows import _axes
+
+    x, _ = _axes(LAYOUT, SourceGrid(scale_x=scale, offset_x=0.3), 2)
+    most = spark.range(-50, 50).select(F.size(x.sources("id")).alias("n")).agg(F.max("n")).first()[0]
+    assert most <= x.most_sources() <= most + 2

@@ -81,6 +81,61 @@ def uniforms(n: Column, seed: int | str, *keys: str | Column) -> Column:
     return F.when(n > 1, F.concat(first, more)).otherwise(first)
 
 
+#: Means up to this are drawn by inversion, larger ones by transformed rejection.
+INVERSION_MEAN = 10.0
+
+#: Rejection rounds; each is accepted with a chance of over 0.7.
+ROUNDS = 40
+
+
+def _log_factorial(k: Column) -> Column:
+    """Logarithm of k! for k >= 0, by Stirling's series at k + 10."""
+    z = k + 11.0
+    series = (z - 0.5) * F.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (1260 * F.pow(z, F.lit(5.0)))
+    return series - reduce(lambda a, b: a + b, [F.log(k + float(i)) for i in range(1, 11)])
+
+
+def poisson_draw(mean: Column, seed: int | str, *keys: str | Column) -> Column:
+    """A Poisson count of any mean, from the row's keys alone, at a cost that does not grow with it.
+
+    Small means are inverted from one number. Large ones use Hörmann's transformed rejection
+    with a pair of numbers a round, which is exact; a row that 40 rounds reject (a chance below
+    1e-20) gets the rounded mean.
+    """
+    small = F.aggregate(
+        F.sequence(F.lit(1), F.lit(80)),
+        F.struct(F.exp(-mean).alias("term"), F.exp(-mean).alias("total"), F.lit(0).cast("bigint").alias("n")),
+        lambda a, i: F.struct(
+            (a["term"] * mean / i).alias("term"),
+            (a["total"] + a["term"] * mean / i).alias("total"),
+            (a["n"] + (uniform(seed, *keys) >= a["total"]).cast("bigint")).alias("n"),
+        ),
+        lambda a: a["n"],
+    )
+    b = 0.931 + 2.53 * F.sqrt(mean)
+    a = -0.059 + 0.02483 * b
+    inverse_alpha, edge = 1.1239 + 1.1328 / (b - 3.4), 0.9277 - 3.6224 / (b - 2.0)
+
+    def attempt(i: Column) -> Column:
+        u = uniform(F.concat_ws("_", F.lit(f"{seed}u"), i), *keys) - 0.5
+        v = F.greatest(uniform(F.concat_ws("_", F.lit(f"{seed}v"), i), *keys), F.lit(2.0**-34))
+        us = F.greatest(0.5 - F.abs(u), F.lit(2.0**-34))
+        k = F.floor((2 * a / us + b) * u + mean + 0.43)
+        log_ratio = -mean + k * F.log(mean) - _log_factorial(F.greatest(k, F.lit(0)).cast("double"))
+        good = ((us >= 0.07) & (v <= edge)) | (
+            (k >= 0) & ~((us < 0.013) & (v > us))
+            & (F.log(v) + F.log(inverse_alpha) - F.log(a / (us * us) + b) <= log_ratio)
+        )
+        return F.when(good, k.cast("bigint"))
+
+    large = F.aggregate(
+        F.sequence(F.lit(1), F.lit(ROUNDS)),
+        F.lit(None).cast("bigint"),
+        lambda found, i: F.when(found.isNotNull(), found).otherwise(attempt(i)),
+    )
+    return F.when(mean < INVERSION_MEAN, small).otherwise(F.coalesce(large, F.round(mean).cast("bigint")))
+
+
 def scale_to_int8(value: str | Column, factor: float = 100.0) -> Column:
     """``value`` times ``factor``, cut off to a signed byte (NULL if it does not fit)."""
     value = F.col(value) if isinstance(value, str) else value

@@ -126,7 +126,7 @@ def gather(
     """Feature pixels of the listed sites, with label, usage and ``copies`` if ``masks`` are given.
 
     Features are computed once per cell and pair of scenes. ``copies`` says how many rows the
-    site list has for the cell and usage (1 with ``dedupe``); samples and counts of labelled
+    site list has for the cell and usage (or the sum of its own ``copies``) (1 with ``dedupe``); samples and counts of labelled
     pixels multiply by it, so a site listed very often costs no more pixels than any other.
     """
     names = feature_names(seasons, bands)
@@ -134,7 +134,8 @@ def gather(
         wanted = pairs.join(sites.select("col", "row").distinct(), ["col", "row"], "left_semi")
         frame = features(tiles, wanted, layout, seasons, bands, **reading)
         return explode_tiles(frame, names, layout.tile_cols, ["col", "row"])
-    copies = F.max(F.lit(1).cast("bigint")) if dedupe else F.count("*")
+    rows = F.sum("copies") if "copies" in sites.columns else F.count("*")
+    copies = F.max(F.lit(1).cast("bigint")) if dedupe else rows
     listed = sites.groupBy("col", "row", "usage").agg(copies.alias("copies"))
     site_columns = ["usage", "copies"]
     frame = features(

@@ -16,8 +16,8 @@ TREES = 60
 MAX_DEPTH = 15
 SUBSAMPLING = 0.1
 
-#: Most rows of training data in one partition.
-MAX_PARTITION_ROWS = 2_000_000
+#: Rows of training data in one partition, about.
+PARTITION_ROWS = 50_000
 
 
 def drop_nodata(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,17 +67,15 @@ def train(
     """Fit the forest on the rows that have all features and a label.
 
     ``spread_by`` names row keys by which rows are spread evenly over ``partitions`` before the
-    many passes of training. By default there is one partition per core, and more if that
-    would exceed ``MAX_PARTITION_ROWS``. The same keys, seed and number of partitions give the
-    same forest.
+    many passes of training. Their number follows from the rows alone, and rows are sorted by
+    the keys within partitions, so the same rows and seed give the same forest on any cluster.
     """
     rows = drop_nodata(df, [*features, label]).withColumn(label, F.col(label).cast("double"))
     weight = options.get("weight")
     rows = rows.select(*spread_by, *features, label, *([weight] if weight else []))
     if spread_by:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n = partitions or max(cores, -(-rows.count() // MAX_PARTITION_ROWS))
-        rows = rows.repartition(n, *spread_by)
+        n = partitions or max(1, -(-rows.count() // PARTITION_ROWS))
+        rows = rows.repartition(n, *spread_by).sortWithinPartitions(*spread_by)
     return pipeline(features, label, **options).fit(rows)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tilecast.functions.columns import (
     draws_for,
     poisson_count,
+    poisson_draw,
     steps_passed,
     uniform,
     uniforms,
@@ -79,10 +80,14 @@ def balance_weights(
     """
     rates = balance_rates(df, label, copies, keep_unlabelled)
     value = F.col(label)
+    if copies:
+        # Counts of independent copies add up: one draw at the summed rate.
+        rate = F.when(value == 1, rates[1]).otherwise(rates[0])
+        means = df.where(value.isin(0, 1)).withColumn("_mean", rate * F.col(copies).cast("double"))
+        return means.withColumn("drawn", poisson_draw(F.col("_mean"), seed, *keys).cast("int")).drop("_mean").where("drawn > 0")
     drawn = F.when(value == 1, poisson_count("_u", rates[1])).when(value == 0, poisson_count("_u", rates[0]))
     draws = F.when(value == 1, F.lit(draws_for(rates[1]))).otherwise(F.lit(draws_for(rates[0])))
-    numbers = draws * F.col(copies) if copies else draws
-    known = df.where(value.isin(0, 1)).withColumn("_u", uniforms(numbers, seed, *keys))
+    known = df.where(value.isin(0, 1)).withColumn("_u", uniforms(draws, seed, *keys))
     return known.withColumn("drawn", drawn).drop("_u").where("drawn > 0")
 
 

@@ -52,6 +52,15 @@ def sites_with_usage(pool: DataFrame, labelled_rows: DataFrame) -> DataFrame:
     return listed.select("name", "col", "row", "usage").unionByName(missing)
 
 
+def usage_counts(pool: DataFrame, labelled_rows: DataFrame) -> DataFrame:
+    """``name, col, row, usage, copies``: listed pool sites, and how often each usage is listed.
+
+    Rows are counted before they meet the pool, so a name on a third of all rows joins once.
+    """
+    counted = labelled_rows.groupBy("name", "usage").agg(F.count("*").alias("copies"))
+    return pool.select("name", "col", "row").join(counted, "name").select("name", "col", "row", "usage", "copies")
+
+
 def all_sites(pool: DataFrame, qs: DataFrame) -> DataFrame:
     """The sites of either list."""
     return pool.select(*SITE_KEYS).join(qs.select(*SITE_KEYS), SITE_KEYS, "outer")

@@ -21,7 +21,7 @@ from tilecast.functions import kernels
 from tilecast.layout import Layout, SourceGrid
 from tilecast.operators.tiles import crop
 from tilecast.runtime import MAX_BROADCAST_ROWS, materialize
-from tilecast.sources.imagery import block_of
+from tilecast.sources.imagery import BLOCK, block_of
 
 
 class _Axis:
@@ -48,6 +48,11 @@ class _Axis:
             F.floor(first / tile).cast("bigint"), F.floor(last / tile).cast("bigint")
         )
 
+    def most_sources(self) -> int:
+        """Most source tiles that one target's window can touch along this axis."""
+        pixels = math.ceil((self.tile + 2 * self.buffer - 1) * self.scale) + 2
+        return -(-pixels // self.tile) + 1
+
     def targets(self, source: str) -> Column:
         """Target cells whose window may reach a source tile."""
         first, last = F.col(source) * self.tile, F.col(source) * self.tile + (self.tile - 1)
@@ -127,13 +132,48 @@ def _pull(tiles, targets, keys, seasons, bands, x, y) -> DataFrame:
     return _pieces(source.join(F.broadcast(needs), on + blocks), keys, bands, x, y)
 
 
+#: Bitmaps of wanted cells (4 KB for 32,768 cells) that may be broadcast: 40 MB.
+MAX_BITMAPS = 10_000
+
+_BITS = 32_768
+
+
+def _needed_only(source: DataFrame, targets: DataFrame, x, y) -> DataFrame:
+    """Source tiles that some target needs, in place: a bitmap of cells for each storage block.
+
+    The join is on the block, so folders of other blocks are not read, and other tiles of a block
+    go before anything is shuffled. Beyond ``MAX_BITMAPS`` all tiles stay, which is correct too.
+    """
+    cell = (F.pmod("s_col", F.lit(BLOCK)) * BLOCK + F.pmod("s_row", F.lit(BLOCK))).cast("bigint")
+    blocks = {"block_col": block_of("s_col"), "block_row": block_of("s_row"), "_half": (cell / _BITS).cast("int")}
+    needed = (
+        targets.select("col", "row").distinct()
+        .withColumn("s_col", F.explode(x.sources("col"))).withColumn("s_row", F.explode(y.sources("row")))
+        .withColumns(blocks)
+        .groupBy(*blocks)
+        .agg(F.bitmap_construct_agg(F.pmod(cell, F.lit(_BITS))).alias("_cells"))
+    )
+    needed = materialize(needed, "bitmaps")
+    if needed.count() > MAX_BITMAPS:
+        return source
+    byte = F.conv(F.hex(F.substring("_cells", (F.pmod(cell, F.lit(_BITS)) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    stored = [c for c in ("block_col", "block_row") if c in source.columns]
+    located = source.withColumns({name: made for name, made in blocks.items() if name not in stored})
+    return (
+        # Spark prunes folders at run time only where the other side has a filter of its own.
+        located.join(F.broadcast(needed.where(F.bitmap_count("_cells") > 0)), list(blocks))
+        .where(F.getbit(byte, (cell % 8).cast("int")) == 1)
+        .drop("_cells", "_half")
+    )
+
+
 def _push(tiles, targets, keys, seasons, bands, x, y) -> DataFrame:
     """Many targets: send each tile's pieces to the cells around it, in one shuffle.
 
     The join is on the cell alone. Season and scene are compared as a condition over both
     sides, so the pieces arrive partitioned by cell, which is what the grouping needs too.
     """
-    source = tiles.withColumnsRenamed({"col": "s_col", "row": "s_row"})
+    source = _needed_only(tiles.withColumnsRenamed({"col": "s_col", "row": "s_row"}), targets, x, y)
     sent = source.select(
         "season", "scene_id", "s_col", "s_row", *bands, F.explode(x.targets("s_col")).alias("col")
     ).withColumn("row", F.explode(y.targets("s_row")))
@@ -157,8 +197,13 @@ def _push(tiles, targets, keys, seasons, bands, x, y) -> DataFrame:
 def _with_layers(pieces, layers, targets, keys, few) -> DataFrame:
     """Append the tiles of the extra layers, each in a column of its own."""
     wanted = F.broadcast(targets) if few else targets.hint("shuffle_hash")
+    blocks = [c for c in ("block_col", "block_row")]
     for name, layer in layers.items():
-        tiles = layer.select("col", "row", name).join(wanted, ["col", "row"]).select(*keys, name)
+        on = ["col", "row"]
+        if set(blocks) <= set(layer.columns):  # stored by block: other folders are not read
+            on = [*blocks, *on]
+            wanted = wanted.withColumns({"block_col": block_of("col"), "block_row": block_of("row")})
+        tiles = layer.select(*on, name).join(wanted, on).select(*keys, name)
         pieces = pieces.unionByName(tiles, allowMissingColumns=True)
     return pieces
 
@@ -200,7 +245,7 @@ def window_map(
     keys = ["col", "row", *seasons, *carry]
     # Only keys, written once: counted here and read again by the join.
     wanted = materialize(targets.select(*keys).distinct(), "targets")
-    few = wanted.count() * len(seasons) * 9 <= max_broadcast
+    few = wanted.count() * len(seasons) * x.most_sources() * y.most_sources() <= max_broadcast
     pieces = (_pull if few else _push)(tiles, wanted, keys, seasons, bands, x, y)
     pieces = _with_layers(pieces, layers, wanted, keys, few)
     aligned, count, extra = grid.aligned, len(bands), list(layers)

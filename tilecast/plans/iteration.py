@@ -21,8 +21,8 @@ from tilecast.operators.sites import (
     last_iteration,
     scene_sites,
     season_pairs,
-    sites_with_usage,
     unlabelled_sites,
+    usage_counts,
 )
 from tilecast.runtime import materialize
 from tilecast.sources.publish import COARSE_FACTOR, probability_tiles
@@ -90,8 +90,9 @@ class Iteration:
         One pass over the imagery serves both uses; the table is written once and kept.
         """
         if self._labelled_pixels is None:
-            sites = sites_with_usage(self.inputs.pool, self.labelled)
-            listed = sites.where(F.col("usage").isin("train", "validate"))
+            listed = usage_counts(
+                self.inputs.pool, self.labelled.where(F.col("usage").isin("train", "validate"))
+            )
             pixels = self._gather(listed, self.inputs.masks)
             complete = forest.drop_nodata(pixels, ["mask", *self.settings.features])
             self._labelled_pixels = materialize(complete, "labelled")
@@ -102,6 +103,7 @@ class Iteration:
         s = self.settings
         pixels = self.labelled_pixels().where("usage = 'train'")
         sample = balance_weights(pixels, "mask", s.seed, PIXEL_KEYS, copies="copies")
+        sample = materialize(sample, "balanced")  # draws are made once, not in every pass
         return forest.train(
             sample, s.features, "mask", PIXEL_KEYS, weight="drawn", seed=s.seed, **s.forest
         )

@@ -46,16 +46,20 @@ def probability_tiles(
 
 def publish(
     tiles: DataFrame, folder: str, pattern: str, aoi: str, run: int | str, iteration: int,
-    mode: str = "append",
+    mode: str = "overwrite",
 ) -> None:
-    """Write tiles below ``folder``, with the location that ``pattern`` gives each of them."""
+    """Write tiles below ``folder``, with the location that ``pattern`` gives each of them.
+
+    By default they replace those of the same area, run and iteration, and leave all others.
+    """
     labelled = tiles.withColumns(
         {"aoi": F.lit(aoi), "run": F.lit(run), "iteration": F.lit(iteration)}
     )
     path = output_path(pattern, "col", "row", "aoi", "run", "iteration")
     (
         labelled.withColumn("path", path)
-        .write.mode(mode).partitionBy("aoi", "run", "iteration").parquet(folder)
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        .partitionBy("aoi", "run", "iteration").parquet(folder)
     )
 
 

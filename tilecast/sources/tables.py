@@ -36,7 +36,11 @@ METRICS = _schema(
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read columns by header name, so files may order them differently than ``schema``."""
+    """Read columns by header name, so files may order them differently than ``schema``.
+
+    All files below ``path`` must have the same header: a file with another one is an error when
+    it is read, never columns in wrong places.
+    """
     with_header = spark.read.option("header", True)
     # Reading the header line alone, as text, costs one row of the first file.
     header = with_header.csv(path).columns
@@ -45,7 +49,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
     ordered = T.StructType([kinds.get(c, T.StructField(c, T.StringType())) for c in header])
-    return with_header.schema(ordered).csv(path).select(*kinds)
+    return with_header.option("enforceSchema", False).schema(ordered).csv(path).select(*kinds)
 
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
@@ -77,7 +81,7 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, METRICS)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
-    """Write CSV with a header; ``single_file`` is for frames of a few rows only."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
+    """Write CSV with a header, in place of what is there; ``single_file`` is for a few rows only."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).csv(path)

@@ -154,6 +154,10 @@ def _feature_columns(alias: str, season: str) -> str:
     )
 
 
+_COMPLETE = " and ".join(
+    f'"{s}_{kind}_{b}" is not null' for s in ("GS", "OS") for kind in ("raw", "avg", "std") for b in (1, 2, 3, 4)
+)
+
 _JOINED = f'''
 joined as (
   select g.gx, g.gy, g.col, g."row", {_feature_columns("g", "GS")}, {_feature_columns("o", "OS")}
@@ -182,7 +186,7 @@ def _resample(method: str, ox: float, oy: float) -> str:
   select t.season, t.scene_id, t.gx, t.gy, {_band_list("n.b{b}::double", "b")}
   from ({positions}) t left join spx n
     on n.season = t.season and n.scene_id = t.scene_id
-   and n.gx = floor(t.fx + 0.5) and n.gy = floor(t.fy + 0.5)'''
+   and n.gx = cast(floor(t.fx + 0.5) as bigint) and n.gy = cast(floor(t.fy + 0.5) as bigint)'''
     value = "round(sum(w * n.b{b}) / sum(w) filter (n.b{b} is not null), 9)"
     return f'''
   select t.season, t.scene_id, t.gx, t.gy, {_band_list(value, "b")}
@@ -365,8 +369,8 @@ QUERIES: dict[str, tuple[str, str]] = {
     "assemble_tiles": (
         "",
         f'''select gx//10 as col, gy//10 as "row", season, cast(count(*) as int) as n_cells,
-                   {_TEXT.format(v="b1", o="gy, gx")} as b1, {_TEXT.format(v="b2", o="gy, gx")} as b2
-            from (select g.gx, g.gy, g.season, p.b1, p.b2 from (select distinct gx, gy, season from px) g
+                   {", ".join(f"{_TEXT.format(v=f'b{b}', o='gy, gx')} as b{b}" for b in (1, 2, 3, 4))}
+            from (select g.gx, g.gy, g.season, p.b1, p.b2, p.b3, p.b4 from (select distinct gx, gy, season from px) g
                   left join (select * from px where b1 is not null) p using (gx, gy, season)) group by all''',
     ),
     "scale_to_int8": (
@@ -375,10 +379,11 @@ QUERIES: dict[str, tuple[str, str]] = {
         'cast(trunc(s/1000.0::double*100) as tinyint) as percent from scored',
     ),
     "retile_coarse": (
-        "coarse as (select season, gx//50 as col, gy//50 as \"row\", gx%50 as x, gy%50 as y, b1 from px),"
+        "coarse as (select season, gx//50 as col, gy//50 as \"row\", gx%50 as x, gy%50 as y, b1, b2, b3, b4 from px),"
         "shell as (select * from (select distinct season, col, \"row\" from coarse) "
         "cross join range(0, 50) x(x) cross join range(0, 50) y(y))",
-        f'''select season, col, "row", cast(count(*) as int) as n_cells, {_TEXT.format(v="b1", o="y, x")} as b1
+        f'''select season, col, "row", cast(count(*) as int) as n_cells,
+                   {", ".join(f"{_TEXT.format(v=f'b{b}', o='y, x')} as b{b}" for b in (1, 2, 3, 4))}
             from shell left join coarse using (season, col, "row", x, y) group by all''',
     ),
     "overview_pyramid": (
@@ -404,6 +409,19 @@ QUERIES: dict[str, tuple[str, str]] = {
         f"{_FEATURES}, {_JOINED}",
         f'select {_KEYS}, * exclude (gx, gy, col, "row") from joined semi join test_sites using (col, "row")',
     ),
+    "classify": (
+        f"{_FEATURES}, {_JOINED}",
+        f'''select {_KEYS}, true as sums_to_one, true as agrees
+            from joined semi join test_sites using (col, "row") where {_COMPLETE}''',
+    ),
+    "train_classify": (
+        f'''{_FEATURES}, {_JOINED},
+        listed as (select col, "row", count(*) as copies
+                   from pool p join labelled i on i.name = p.name where usage = 'validate' group by all)''',
+        f'''select sum(copies)::bigint as judged, true as tss_agrees, true as recall_agrees, true as auc_in_range
+            from joined join listed using (col, "row") join mask using (gx, gy)
+            where mask is not null and {_COMPLETE}''',
+    ),
     # sampling
     "poisson_sample": (
         f'''cdf as ({_poisson_cdf("(select 0 as c, 0.1::double as rate)")}),

@@ -395,8 +395,8 @@ def _as_text(cells: str) -> F.Column:
 def assemble_tiles(fx):
     """Pixels without data are left out, so that the gaps are filled."""
     present = fx.px().where("b1 is not null").withColumns(LAYOUT.cell_of())
-    tiled = tiles.assemble_tiles(present, [*CELL, "season"], ["b1", "b2"], LAYOUT)
-    return tiled.select(*CELL, "season", F.size("b1").alias("n_cells"), *[_as_text(b).alias(b) for b in ("b1", "b2")])
+    tiled = tiles.assemble_tiles(present, [*CELL, "season"], BANDS, LAYOUT)
+    return tiled.select(*CELL, "season", F.size("b1").alias("n_cells"), *[_as_text(b).alias(b) for b in BANDS])
 
 
 @query
@@ -406,9 +406,9 @@ def scale_to_int8(fx):
 
 @query
 def retile_coarse(fx):
-    small = tiles.assemble_tiles(fx.px().withColumns(LAYOUT.cell_of()), ["season", *CELL], ["b1"], LAYOUT)
-    coarse = tiles.retile(small, ["b1"], LAYOUT, 5)
-    return coarse.select("season", *CELL, F.size("b1").alias("n_cells"), _as_text("b1").alias("b1"))
+    small = tiles.assemble_tiles(fx.px().withColumns(LAYOUT.cell_of()), ["season", *CELL], BANDS, LAYOUT)
+    coarse = tiles.retile(small, BANDS, LAYOUT, 5)
+    return coarse.select("season", *CELL, F.size("b1").alias("n_cells"), *[_as_text(b).alias(b) for b in BANDS])
 
 
 @query
@@ -487,17 +487,36 @@ def _iteration(fx: Fixtures) -> Iteration:
 
 @query
 def train_classify(fx):
-    """Train on the training sites, report on the validation sites."""
+    """Train on the training sites, report on the validation sites.
+
+    What a model reports is no fact of SQL; how many pixels were judged, and how the rates hang
+    together, is.
+    """
     step = _iteration(fx)
-    return step.report(step.train())
+    model = step.train()
+    pixels = step.labelled_pixels().where("usage = 'validate'")
+    judged = forest.classify(model, pixels, ["mask", "copies"])
+    counts = metrics.confusion_matrix(judged, "mask", "prediction", copies="copies")
+    total = counts.select((F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("judged"))
+    rates = step.report(model).select(
+        (F.abs(F.col("tss") - (F.col("tpr") - F.col("fpr"))) < 1e-9).alias("tss_agrees"),
+        (F.col("recall") == F.col("tpr")).alias("recall_agrees"),
+        F.col("AUC").between(0, 1).alias("auc_in_range"),
+    )
+    return total.crossJoin(rates)  # a row each
 
 
 @query
 def classify(fx):
-    """Class probabilities of every pixel of the test sites."""
+    """Every pixel of the test sites is classified, by the larger of two shares of one."""
     step = _iteration(fx)
     pixels = focal.gather(fx.tiles(), step.pairs, step.test_sites(), LAYOUT)
-    return forest.classify(step.train(), pixels, PIXEL_KEYS)
+    found = forest.classify(step.train(), pixels, PIXEL_KEYS)
+    return found.select(
+        *PIXEL_KEYS,
+        (F.abs(F.col("p_no_field") + F.col("p_field") - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("prediction") == (F.col("p_field") > F.col("p_no_field")).cast("double")).alias("agrees"),
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
