@@ -91,11 +91,12 @@ def test_reports_round_trip_through_csv(spark, tmp_path):
     assert tuple(tables.read_metrics(spark, str(tmp_path / "m")).first()) == METRICS_ROW
 
 
-def test_no_local_scratch_folder_on_a_cluster():
+@pytest.mark.parametrize("cluster", ["yarn", "local-cluster[3,2,3000]"])
+def test_no_local_scratch_folder_on_a_cluster(cluster):
     from tilecast import runtime
 
     class Context:
-        master = "yarn"
+        master = cluster
 
         def getCheckpointDir(self):
             return None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
+#: Temporary folders of local sessions, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder that the session names in ``spark.checkpoint.dir``.
 
@@ -19,10 +24,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tilecast-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL.get(context.applicationId) or tempfile.mkdtemp(prefix="tilecast-")
+        _LOCAL[context.applicationId] = base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
