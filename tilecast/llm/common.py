@@ -72,17 +72,24 @@ def joined_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
 
 
-def hashed_ngrams(data: np.ndarray, text_of: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(text, bucket)`` of every run of ``n`` (at most 8) bytes inside a text."""
-    if len(data) < n:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    packed = data[: len(data) - n + 1].astype(np.uint64)
-    for i in range(1, n):
-        packed = (packed << np.uint64(8)) | data[i : len(data) - n + 1 + i]
-    packed = (packed ^ np.uint64(n << 60)) * np.uint64(0xBF58476D1CE4E5B9)
-    packed = (packed ^ (packed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    inside = text_of[: len(packed)] == text_of[n - 1 :]
-    return text_of[: len(packed)][inside], (packed >> np.uint64(64 - bits)).astype(np.int64)[inside]
+def ngram_buckets(data: np.ndarray, sizes: Sequence[int], bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """``(n, bucket of the n bytes from each position on)``, by rolling 32-bit hashes.
+
+    Runs that reach into the next text are the caller's to leave out.
+    """
+    h = np.zeros(len(data), np.uint32)
+    for n in range(1, max(sizes) + 1):
+        if len(data) < n:
+            return
+        h = h[: len(data) - n + 1] * np.uint32(0x01000193) + data[n - 1 :] + np.uint32(1)
+        if n in sizes:
+            yield n, ((h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values, sorted; for numbers much faster than hashing them."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate((np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]))]
 
 
 def mix(h: np.ndarray) -> np.ndarray:

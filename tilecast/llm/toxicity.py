@@ -19,7 +19,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilecast.llm.common import hashed_ngrams, joined_bytes, map_text, slices
+from tilecast.llm.common import distinct, joined_bytes, map_text, ngram_buckets, slices
 from tilecast.runtime import broadcast_if_small, materialize
 
 SIZES = (4, 5, 6)
@@ -31,6 +31,9 @@ FEATURES = 20_000
 #: Rows that the logistic regression is fitted on, about; counts and ratios use all rows.
 FIT_ROWS = 50_000
 
+#: Text handled at once. Every byte of it becomes a few n-grams of eight bytes.
+CHUNK = 1_000_000
+
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -48,11 +51,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def presence(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``(text, bucket)`` pairs."""
+    """Distinct ``(text, bucket)`` pairs, sorted."""
     data, of = joined_bytes([t.translate(_LOWER) for t in texts])
-    pairs = [text << bits | bucket for text, bucket in (hashed_ngrams(data, of, n, bits) for n in SIZES)]
-    keys = np.unique(np.concatenate(pairs))
-    return keys >> bits, keys & ((1 << bits) - 1)
+    # Pairs are sorted as small numbers where they fit.
+    kind = np.uint32 if len(texts) <= 1 << (32 - bits) else np.uint64
+    shifted = of.astype(kind) << kind(bits)
+    pairs = [np.empty(0, kind)]
+    for n, bucket in ngram_buckets(data, SIZES, bits):
+        inside = of[: len(bucket)] == of[n - 1 :]
+        pairs.append((shifted[: len(bucket)] | bucket)[inside])
+    keys = distinct(np.concatenate(pairs))
+    return (keys >> kind(bits)).astype(np.int64), (keys & kind((1 << bits) - 1)).astype(np.int64)
 
 
 def ratios(rows: DataFrame, smooth: float = 1.0) -> DataFrame:
@@ -65,7 +74,7 @@ def ratios(rows: DataFrame, smooth: float = 1.0) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << BITS), np.int64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", CHUNK):
                 texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
                 labels = np.array(part.column("label").to_pylist(), np.int64)
                 text, bucket = presence(texts)
@@ -83,7 +92,7 @@ def ratios(rows: DataFrame, smooth: float = 1.0) -> DataFrame:
     return counted.withColumn("ratio", F.log(share[1] / share[0])).withColumn("z", F.col("ratio") / error)
 
 
-def fit(docs: DataFrame, labels: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS, least_z: float = 3.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS, least_z: float = 4.0) -> Model:
     """Learn from ``labels`` (``doc_id, label`` 0 or 1) of rows that are not held out.
 
     Rows with another or no label, and labels without a document, teach nothing. A document
@@ -122,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, features: int = FEATURES, fit_rows:
 
     per_million = min(1_000_000, int(1e6 * fit_rows / total))
     sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < per_million)
-    held = map_text(sample, ["label"], "text", "at array<int>", make)
+    held = map_text(sample, ["label"], "text", "at array<int>", make, CHUNK)
     n = len(buckets)
 
     @F.udf(VectorUDT())
@@ -145,18 +154,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
         def compute(texts, _):
             data, of = joined_bytes([t.translate(_LOWER) for t in texts])
-            found = []
-            for n in SIZES:
-                text, bucket = hashed_ngrams(data, of, n, BITS)
-                used = weights[bucket] != 0
-                found.append(text[used] << BITS | bucket[used])
-            keys = np.unique(np.concatenate(found))
+            found = [np.empty(0, np.int64)]
+            for n, bucket in ngram_buckets(data, SIZES, BITS):
+                at = np.flatnonzero(weights[bucket])  # few n-grams have a weight
+                at = at[of[at] == of[at + n - 1]]
+                found.append(of[at] << BITS | bucket[at])
+            keys = distinct(np.concatenate(found))
             total = np.bincount(keys >> BITS, weights[keys & ((1 << BITS) - 1)], minlength=len(texts))
             return [pa.array(1 / (1 + np.exp(-np.clip(total + intercept, -500, 500))))]
 
         return compute
 
-    return map_text(docs, ["doc_id"], "text", "score double", make)
+    return map_text(docs, ["doc_id"], "text", "score double", make, CHUNK)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:

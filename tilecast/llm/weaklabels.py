@@ -15,11 +15,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import DenseVector, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilecast.llm.common import hashed_ngrams, joined_bytes, map_text
+from tilecast.llm.common import joined_bytes, map_text, ngram_buckets
 from tilecast.runtime import materialize
 
 SIZES, BITS = (1, 2, 3), 12
@@ -27,6 +27,9 @@ SIZES, BITS = (1, 2, 3), 12
 #: Documents that the linear scorer is fitted on, about; votes and accuracies use all.
 FIT_ROWS = 20_000
 
+#: Text handled at once; each of its documents has a row of all features.
+CHUNK = 1_000_000
+
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -141,11 +144,11 @@ def features(texts: list[bytes]) -> np.ndarray:
     """Counts of hashed n-grams as rows of unit length; zero for an empty text."""
     data, of = joined_bytes(texts)
     x = np.zeros((len(texts), 1 << BITS), np.float32)
-    for n in SIZES:
-        text, bucket = hashed_ngrams(data, of, n, BITS)
-        x += np.bincount(text << BITS | bucket, minlength=x.size).reshape(x.shape)
+    for n, bucket in ngram_buckets(data, SIZES, BITS):
+        inside = of[: len(bucket)] == of[n - 1 :]
+        x += np.bincount((of[: len(bucket)] << BITS | bucket)[inside], minlength=x.size).reshape(x.shape)
     norm = np.sqrt((x.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
-    return x / np.maximum(norm, 1)
+    return x / np.maximum(norm, 1).astype(np.float32)
 
 
 def label_model(voted: DataFrame) -> LabelModel:
@@ -181,16 +184,15 @@ def judge(docs: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = 0.5) ->
 
     per_million = min(1_000_000, int(1e6 * fit_rows / max(total, 1)))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) < per_million)
-    rows = materialize(map_text(sample, [], "text", "posterior double, x array<float>", make_rows), "weak-rows")
+    rows = materialize(map_text(sample, [], "text", "posterior double, x array<float>", make_rows, CHUNK), "weak-rows")
     span = rows.agg(F.min("posterior"), F.max("posterior"), F.avg("posterior")).first()
     weights, intercept = np.zeros(1 << BITS), 0.0
     if span[0] is not None and span[0] < 0.5 <= span[1]:
-        vector = F.udf(DenseVector, VectorUDT())
         # A soft label is a row of either label, weighted by its chance.
         both = rows.select(
             F.col("x"), F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("posterior").alias("w")),
                                           F.struct(F.lit(0.0).alias("label"), (1 - F.col("posterior")).alias("w")))).alias("l")
-        ).where("l.w > 0.001").select("l.label", "l.w", vector("x").alias("features"))
+        ).where("l.w > 0.001").select("l.label", "l.w", array_to_vector("x").alias("features"))
         fitted = LogisticRegression(maxIter=40, regParam=1e-5, weightCol="w", standardization=False).fit(both)
         weights, intercept = fitted.coefficients.toArray(), float(fitted.intercept)
     elif span[2] is not None:
@@ -205,5 +207,5 @@ def judge(docs: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = 0.5) ->
 
         return compute
 
-    scored = map_text(docs, ["doc_id"], "text", "score double", make)
+    scored = map_text(docs, ["doc_id"], "text", "score double", make, CHUNK)
     return scored.withColumn("kept", F.col("score") >= threshold)
