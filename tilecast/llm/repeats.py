@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilecast.llm import suffixes
-from tilecast.llm.common import blobs, map_text, mix, slices, unblob, whole_groups
+from tilecast.llm.common import blobs, distinct, map_text, mix, slices, unblob, whole_groups
 from tilecast.runtime import MAX_BROADCAST_ROWS, materialize
 
 LENGTH, GRAM = 50, 24
@@ -100,18 +100,22 @@ class Scan:
             setattr(self, name, getattr(self, name)[which])
 
     def hashes(self) -> np.ndarray:
-        """64-bit hashes of the contexts' bytes."""
-        n = len(self.data)
-        power = np.cumprod(np.concatenate(([_U(1)], np.full(n, _BASE))))
-        inverse = np.cumprod(np.concatenate(([_U(1)], np.full(n, _INVERSE))))
-        total = np.concatenate(([_U(0)], np.cumsum(_BYTE[self.data] * power[:n])))
-        end = self.first + self.count + LENGTH - 1
-        return mix((total[end] - total[self.first]) * inverse[self.first] + self.count.astype(np.uint64))
+        return context_hashes(self.data, self.first, self.count)
 
     def bytes_of(self, which: np.ndarray) -> np.ndarray:
         return self.data[stretches(self.first[which], self.count[which] + LENGTH - 1)]
 
 
+def context_hashes(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes of contexts, wherever in ``data`` they lie."""
+    n = len(data)
+    power = np.cumprod(np.concatenate(([_U(1)], np.full(n, _BASE))))
+    inverse = np.cumprod(np.concatenate(([_U(1)], np.full(n, _INVERSE))))
+    total = np.concatenate(([_U(0)], np.cumsum(_BYTE[data] * power[:n])))
+    end = first + count + LENGTH - 1
+    return mix((total[end] - total[first]) * inverse[first] + count.astype(np.uint64))
+
+
 def stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices ``start .. start + length`` of each, one after another."""
     total = int(lengths.sum())
@@ -173,7 +177,7 @@ def shared_anchors(docs: DataFrame) -> np.ndarray:
             marked[1:] |= twice
             marked[:-1] |= twice
             ids = ids[marked]
-            for b in np.unique(bucket):
+            for b in distinct(bucket):
                 own = ids[np.searchsorted(ids, _U(int(b) << 32)) : np.searchsorted(ids, _U(int(b) + 1 << 32))]
                 page = np.zeros(1 << _PAGE, np.uint8)
                 for place in _places(own):
@@ -228,10 +232,12 @@ def least_documents(docs: DataFrame, shared) -> DataFrame:
         widths = width[pick]
         body = data[stretches(at[pick], widths)]
         begins = (np.cumsum(widths) - widths)[starts]
+        # Hashes of contexts follow from their bytes, so only 32 bits of the anchors are sent.
+        low = ((anchor[pick] >> _U(32 - BUCKET_BITS)) & _U(0xFFFFFFFF)).astype(np.uint32)
         columns = [pa.array(bucket)] + [
-            blobs(x, starts) for x in (anchor[pick], context[pick], least, most, count[pick].astype(np.uint8))
+            blobs(x, starts) for x in (low, least, most - least, count[pick].astype(np.uint8))
         ] + [blobs(body, begins)]
-        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "anchors", "contexts", "least", "most", "counts", "body"])
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "anchors", "least", "spread", "counts", "body"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -245,7 +251,7 @@ def least_documents(docs: DataFrame, shared) -> DataFrame:
                 hashes = scan.hashes()
                 o = np.lexsort((doc, hashes))  # equal contexts of this batch once, with both ends of their ids
                 first = np.flatnonzero(np.concatenate(([True], hashes[o][1:] != hashes[o][:-1])))
-                pick = np.unique(np.concatenate((first, np.append(first[1:], len(o)) - 1)))
+                pick = distinct(np.concatenate((first, np.append(first[1:], len(o)) - 1)))
                 pick = o[pick]
                 held.append((scan.anchor[pick], hashes[pick], doc[pick], scan.count[pick], scan.bytes_of(pick)))
                 size += len(held[-1][4])
@@ -257,15 +263,17 @@ def least_documents(docs: DataFrame, shared) -> DataFrame:
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "bucket"):
-            anchor, context = (unblob(table[c], np.uint64)[0] for c in ("anchors", "contexts"))
-            least, most = (unblob(table[c], np.int64)[0] for c in ("least", "most"))
-            count = unblob(table["counts"], np.uint8)[0].astype(np.int64)
-            data = unblob(table["body"], np.uint8)[0]
-            yield from _resolve(anchor, context, least, most, count, data)
+            for part in _pieces(table):
+                bucket = part["bucket"].to_numpy().astype(np.uint64)
+                low, n = unblob(part["anchors"], np.uint32)
+                anchor = np.repeat(bucket, n) << _U(32) | low
+                least, spread = (unblob(part[c], np.int64)[0] for c in ("least", "spread"))
+                count = unblob(part["counts"], np.uint8)[0].astype(np.int64)
+                yield from _resolve(anchor, least, least + spread, count, unblob(part["body"], np.uint8)[0])
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = docs.mapInArrow(
-        send, "bucket int, anchors binary, contexts binary, least binary, most binary, counts binary, body binary"
+        send, "bucket int, anchors binary, least binary, spread binary, counts binary, body binary"
     )
     return (
         sent.repartition(parts, "bucket")
@@ -274,9 +282,22 @@ def least_documents(docs: DataFrame, shared) -> DataFrame:
     )
 
 
-def _resolve(anchor, context, least, most, count, data) -> Iterator[pa.RecordBatch]:
+def _pieces(table: pa.Table, limit: int = 8_000_000) -> Iterator[pa.Table]:
+    """Whole buckets, about ``limit`` bytes of contexts at a time."""
+    _, starts = _split(table["bucket"].to_numpy())
+    sizes = np.cumsum(pa.compute.binary_length(table["body"]).to_numpy())
+    ends = np.append(starts[1:], table.num_rows)
+    begin = 0
+    for end in ends.tolist():
+        if sizes[end - 1] - (sizes[begin - 1] if begin else 0) > limit or end == table.num_rows:
+            yield table.slice(begin, end - begin)
+            begin = end
+
+
+def _resolve(anchor, least, most, count, data) -> Iterator[pa.RecordBatch]:
     width = count + LENGTH - 1
     at = np.cumsum(width) - width
+    context = context_hashes(data, at, count)
     # Equal contexts of several tasks become one.
     o = np.lexsort((context, anchor))
     first = np.flatnonzero(np.concatenate(([True], context[o][1:] != context[o][:-1])))
