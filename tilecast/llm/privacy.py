@@ -138,19 +138,23 @@ def disclosing_terms(
 ) -> DataFrame:
     """``term, disclosure, action``: terms that reveal an entity, by the most that they reveal.
 
-    ``support`` is in how many distinct texts a term must stand near the entity. p(t) is over all
-    documents: every word of every text is looked up among the terms that have the support.
+    ``support`` is in how many distinct texts a term must stand near the entity. p(t) is over the
+    distinct texts of the whole corpus.
     """
     near = materialize(contexts(texts, spans), "pii-contexts")
     pairs = near.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= support)
     pairs = materialize(pairs, "pii-pairs")
     entities = near.groupBy("entity").agg(F.countDistinct("digest").alias("n_entity"))
-    wanted = broadcast_if_small(materialize(pairs.select("term").distinct(), "pii-terms"))
-    words = docs.select(
-        F.xxhash64("text").alias("t"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
-    )
-    n_term = words.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    n = docs.select(F.xxhash64("text").alias("t")).distinct().count()
+    wanted = materialize(pairs.select("term").distinct(), "pii-terms")
+    # One row per text: of copies, the one with the smallest id.
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
+    counted = materialize(hashed.groupBy("t").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first")), "pii-copies")
+    copied = broadcast_if_small(counted.where("rows > 1").select(F.col("t").alias("_t"), "first"))
+    once = hashed.join(copied, F.col("t") == F.col("_t"), "left").where(F.col("_t").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
+    words = once.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    # Summed up in tasks first; only then do the few wanted terms pick theirs.
+    n_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(broadcast_if_small(wanted), "term")
+    n = counted.count()
     told = F.col("both") / F.greatest("n_term", "both")
     value = 1 - F.log(told) / F.log(F.col("n_entity") / F.lit(max(n, 1)))
     return (
@@ -217,8 +221,10 @@ def report(docs: DataFrame, **options) -> DataFrame:
     have equal spans; repeated rows stay. An empty table gives no rows.
     """
     found, _ = find(docs, **options)
-    # Texts without a hint cannot have spans, so the join is for few rows.
-    rows = docs.select("doc_id", F.when(F.col("text").rlike(ANY), digest(F.col("text"))).alias("digest"))
+    # Texts without a hint cannot have spans. Their keys, of half the length, match none and are
+    # spread evenly.
+    none = F.unhex(F.lpad(F.hex(F.xxhash64("doc_id")), 16, "0"))
+    rows = docs.select("doc_id", F.when(F.col("text").rlike(ANY), digest(F.col("text"))).otherwise(none).alias("digest"))
     joined = rows.join(found, "digest", "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<order:int,start:bigint,end:bigint,kind:string>>"))
     base = F.filter(spans, lambda s: s["order"] <= len(KINDS))
