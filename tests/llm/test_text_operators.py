@@ -277,6 +277,37 @@ def test_repeats_against_brute_force(spark, docs, empty):
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_repeats_in_texts_longer_than_a_position(monkeypatch):
+    rng = np.random.default_rng(13)
+    passage = rng.integers(97, 123, 400).astype(np.uint8).tobytes()
+    long = rng.integers(97, 123, 17_000_000).astype(np.uint8).tobytes() + passage
+    known = set(repeats.Scan([passage]).anchor.tolist())
+    scan = repeats.Scan([b"x" * 60, long])
+    late = scan.start + scan.count > 17_000_000
+    assert known <= set(scan.anchor[late].tolist())
+    assert scan.count.sum() == 60 - 49 + len(long) - 49  # every string is in one context
+    for i in range(0, len(scan.first), 100_000):
+        own = slice(int(scan.start[i]), int(scan.start[i] + scan.count[i] + 49))
+        assert scan.bytes_of(np.array([i])).tobytes() == [b"x" * 60, long][scan.text[i]][own]
+    # Runs change neither anchors nor hashes of whole contexts.
+    monkeypatch.setattr(repeats, "PIECE", 700)
+    texts = [rng.integers(97, 100, n).astype(np.uint8).tobytes() for n in (10, 650, 2000, 49, 50)]
+    whole = repeats.Scan(texts)
+    monkeypatch.setattr(repeats, "POSITION_BITS", 10)
+    cut = repeats.Scan(texts)
+    assert len(cut.edges) > len(whole.edges)
+    for name in ("text", "start", "count", "anchor"):
+        assert getattr(cut, name).tolist() == getattr(whole, name).tolist()
+    assert cut.hashes().tolist() == whole.hashes().tolist()
+
+
+def test_repeats_across_pieces(spark, docs, monkeypatch):
+    want = repeats.remove_repeats(docs).collect()
+    monkeypatch.setattr(repeats, "PIECE", 600)
+    monkeypatch.setattr(repeats, "POSITION_BITS", 10)
+    assert key(map(tuple, repeats.remove_repeats(docs).collect())) == key(map(tuple, want))
+
+
 # -- quality ------------------------------------------------------------------------------------------------
 
 

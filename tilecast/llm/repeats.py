@@ -33,8 +33,11 @@ from tilecast.runtime import MAX_BROADCAST_ROWS, materialize
 
 LENGTH, GRAM = 50, 24
 
-#: Bytes of a text handled at once (with an overlap), far below the 24 bits of a position.
-PIECE = 8_000_000
+#: Bits of a position among the pieces that are looked at together.
+POSITION_BITS = 20
+
+#: Bytes of a text in a piece (with an overlap), below what a position can count.
+PIECE = 1_000_000
 
 #: Bits of the filter that every task receives (32 MB), and hash buckets.
 FILTER_BITS, BUCKET_BITS = 28, 12
@@ -50,7 +53,10 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
 class Scan:
-    """Contexts of a batch of texts: which text, first string's start, number of strings, anchor."""
+    """Contexts of a batch of texts: which text, first string's start, number of strings, anchor.
+
+    Pieces are looked at in runs of at most ``2 ** POSITION_BITS`` bytes.
+    """
 
     def __init__(self, texts: list[bytes]):
         owner, offset, parts = [], [], []
@@ -59,37 +65,21 @@ class Scan:
                 owner.append(i)
                 offset.append(at)
                 parts.append(text[at : at + PIECE + LENGTH - 1])
-        self.data = data = np.frombuffer(b"".join(parts), np.uint8)
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        n = len(data) - LENGTH + 1
-        if n <= 0:
-            self.text = self.start = self.first = self.count = np.empty(0, np.int64)
-            self.anchor = np.empty(0, np.uint64)
-            return
-        part_of = np.repeat(np.arange(len(parts)), lengths)
-        packed = data[: len(data) - 7].astype(np.uint64)
-        for i in range(1, 8):
-            packed = (packed << _U(8)) | data[i : len(data) - 7 + i]
-        grams = len(data) - GRAM + 1
-        h = np.zeros(grams, np.uint64)
-        for i in range(0, GRAM, 8):
-            h = mix(h * _U(3) + packed[i : i + grams])
-        least = (h >> _U(24) << _U(24)) | np.arange(grams, dtype=np.uint64)
-        span, width = LENGTH - GRAM + 1, 1
-        while 2 * width <= span:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-        at = (least & _U((1 << 24) - 1)).astype(np.int64)
-        at[part_of[:n] != part_of[LENGTH - 1 :]] = -1
-        begin = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (part_of[1:n] != part_of[: n - 1]))))
-        end = np.append(begin[1:], n)
-        real = at[begin] >= 0
-        self.first, self.count = begin[real], (end - begin)[real]
-        part = part_of[self.first]
-        self.text = np.array(owner)[part]
-        self.start = self.first - (np.cumsum(lengths) - lengths)[part] + np.array(offset)[part]
-        self.anchor = h[at[self.first]]
+        begins = np.cumsum(lengths) - lengths
+        self.edges = [0]  # where runs begin and end
+        found, a = [], 0
+        while a < len(parts):
+            b = max(a + 1, int(np.searchsorted(begins + lengths, begins[a] + (1 << POSITION_BITS), "right")))
+            first, count, anchor, part = _contexts(self.data[begins[a] : begins[b - 1] + lengths[b - 1]], lengths[a:b])
+            found.append((first + begins[a], count, anchor, part + a))
+            self.edges.append(int(begins[b - 1] + lengths[b - 1]))
+            a = b
+        empty = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))
+        self.first, self.count, self.anchor, part = (np.concatenate(x) for x in zip(empty, *found))
+        self.text = np.array(owner, np.int64)[part]
+        self.start = self.first - begins[part] + np.array(offset, np.int64)[part]
 
     def ids(self) -> np.ndarray:
         """Anchors as bucket and 32 more bits."""
@@ -100,12 +90,41 @@ class Scan:
             setattr(self, name, getattr(self, name)[which])
 
     def hashes(self) -> np.ndarray:
-        return context_hashes(self.data, self.first, self.count)
+        at = np.searchsorted(self.first, self.edges)
+        runs = zip(self.edges, self.edges[1:], at, at[1:])
+        each = [context_hashes(self.data[a:b], self.first[i:j] - a, self.count[i:j]) for a, b, i, j in runs]
+        return np.concatenate([*each, np.empty(0, np.uint64)])
 
     def bytes_of(self, which: np.ndarray) -> np.ndarray:
         return self.data[stretches(self.first[which], self.count[which] + LENGTH - 1)]
 
 
+def _contexts(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """First byte, number of strings, anchor and piece of the contexts of pieces that lie in a row."""
+    n = len(data) - LENGTH + 1
+    part_of = np.repeat(np.arange(len(lengths)), lengths)
+    packed = data[: len(data) - 7].astype(np.uint64)
+    for i in range(1, 8):
+        packed = (packed << _U(8)) | data[i : len(data) - 7 + i]
+    grams = len(data) - GRAM + 1
+    h = np.zeros(grams, np.uint64)
+    for i in range(0, GRAM, 8):
+        h = mix(h * _U(3) + packed[i : i + grams])
+    least = (h >> _U(POSITION_BITS) << _U(POSITION_BITS)) | np.arange(grams, dtype=np.uint64)
+    span, width = LENGTH - GRAM + 1, 1
+    while 2 * width <= span:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+    at = (least & _U((1 << POSITION_BITS) - 1)).astype(np.int64)
+    at[part_of[:n] != part_of[LENGTH - 1 :]] = -1
+    begin = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (part_of[1:n] != part_of[: n - 1]))))
+    end = np.append(begin[1:], n)
+    real = at[begin] >= 0
+    first = begin[real]
+    return first, (end - begin)[real], h[at[first]], part_of[first]
+
+
 def context_hashes(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """64-bit hashes of the bytes of contexts, wherever in ``data`` they lie."""
     n = len(data)
