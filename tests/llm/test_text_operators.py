@@ -230,6 +230,23 @@ def test_terms_that_disclose_an_entity(spark):
     assert all(r.text == texts[r.doc_id] for r in untouched)
 
 
+def test_entities_named_once_are_protected(spark):
+    rng = random.Random(6)
+    filler = ["lorem", "ipsum", "dolor", "sit", "amet", "elit"]
+    names = ["".join(rng.choice("abcdefghij") for _ in range(12)) for _ in range(8)]
+    texts = [" ".join(rng.choice(filler) for _ in range(20)) for _ in range(300)]
+    texts += [f"lorem ipsum {n} dolor p{i}@q.example sit amet" for i, n in enumerate(names)]
+    texts += ["beforeword " + "x" * 500 + " z@q.example " + "y" * 500 + " afterword"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in privacy.report(docs).collect()}
+    for i, n in enumerate(names, 300):
+        assert "removed:12:24" in got[i] and ":0:5" not in got[i]
+    # The nearest words count whole, however long they are.
+    last = texts[-1]
+    assert "removed:0:10" in got[308] and f"removed:{last.find('afterword')}:{len(last)}" in got[308]
+    assert "removed:11:511" in got[308]
+
+
 def test_sanitised_text_is_cut_at_the_spans(docs):
     for r in privacy.sanitise(docs.where("doc_id is not null"), support=10**6).dropDuplicates(["doc_id"]).collect():
         text = docs.where(F.col("doc_id") == r.doc_id).first().text

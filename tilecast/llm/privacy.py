@@ -8,8 +8,10 @@ name entity e, and p(e|t) the share of those with term t that do, knowing t leav
     disclosure = PMI(t; e) / -log p(e) = 1 - log p(e|t) / log p(e),
 
 1 for a term that only occurs where the entity does, 0 for an independent one. All counts are over
-the corpus, a text counted once however often it was copied. Terms above one threshold are
-generalised, above a higher one removed, in every text that holds personal data.
+the corpus, a text counted once however often it was copied. Most entities are named in one text;
+p(e|t) is therefore smoothed, by one more text with t that names e as often as any text does, and
+no pair is left out for being rare. Terms above one threshold are generalised, above a higher one
+removed: in every text that holds personal data, or in every text.
 
 Everything here is DataFrame functions. Regular expressions use possessive groups, which match
 what the plain ones do but need no stack on very long texts.
@@ -22,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilecast.runtime import broadcast_if_small, materialize
+from tilecast.runtime import MAX_BROADCAST_ROWS, broadcast_if_small, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -126,37 +128,52 @@ def contexts(texts: DataFrame, spans: DataFrame, words: int = 5) -> DataFrame:
     reach = 40 * words
     entity = F.concat_ws(":", "kind", F.when(F.col("kind") == "email", F.lower("match")).when(F.col("kind") == "ip", F.col("match")).otherwise(_digits(F.col("match"))))
     placed = texts.join(spans.select("digest", "start", "end", entity.alias("entity")), "digest")
-    before = F.slice(F.reverse(F.regexp_extract_all(F.lower(F.substring("text", F.greatest(F.col("start") - reach, F.lit(0)).cast("int") + 1, F.least(F.col("start"), F.lit(reach)).cast("int"))), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))), 1, words)
-    after = F.slice(F.regexp_extract_all(F.lower(F.substring("text", F.col("end").cast("int") + 1, F.lit(reach))), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), 1, words)
+
+    def cut(start, n) -> Column:
+        return F.regexp_extract_all(F.lower(F.substring("text", start.cast("int") + 1, n.cast("int"))), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    # A stretch beside the entity holds its nearest words whole if it holds one more, or ends with
+    # the text. Where it does not, the whole side is read.
+    start, behind = F.col("start"), F.length("text") - F.col("end")
+    close = cut(F.greatest(start - reach, F.lit(0)), F.least(start, F.lit(reach)))
+    close = F.when((start <= reach) | (F.size(close) > words), close).otherwise(cut(F.lit(0), start))
+    before = F.slice(F.reverse(close), 1, words)
+    close = cut(F.col("end"), F.lit(reach))
+    close = F.when((behind <= reach) | (F.size(close) > words), close).otherwise(cut(F.col("end"), behind))
+    after = F.slice(close, 1, words)
     near = F.filter(F.concat(before, after), lambda w: ~w.rlike("[0-9@]"))
     terms = F.flatten(F.transform(near, lambda w: F.regexp_extract_all(w, F.lit(TERM), F.lit(0))))
     return placed.select("digest", "entity", F.explode(F.array_distinct(terms)).alias("term")).where(F.length("term") >= 3).distinct()
 
 
+def one_of_each(docs: DataFrame) -> tuple[DataFrame, int]:
+    """A row of every distinct text (of copies the one with the smallest id), and how many there are."""
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
+    counted = materialize(hashed.groupBy("t").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first")), "pii-copies")
+    copied = broadcast_if_small(counted.where("rows > 1").select(F.col("t").alias("_t"), "first"))
+    once = hashed.join(copied, F.col("t") == F.col("_t"), "left").where(F.col("_t").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
+    return once, counted.count()
+
+
 def disclosing_terms(
-    docs: DataFrame, texts: DataFrame, spans: DataFrame, support: int = 3, generalise: float = 0.6, remove: float = 0.8
+    once: DataFrame, n: int, texts: DataFrame, spans: DataFrame, support: int = 1, generalise: float = 0.6, remove: float = 0.8
 ) -> DataFrame:
     """``term, disclosure, action``: terms that reveal an entity, by the most that they reveal.
 
     ``support`` is in how many distinct texts a term must stand near the entity. p(t) is over the
-    distinct texts of the whole corpus.
+    ``n`` distinct texts of the whole corpus, which ``once`` has.
     """
     near = materialize(contexts(texts, spans), "pii-contexts")
     pairs = near.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= support)
     pairs = materialize(pairs, "pii-pairs")
     entities = near.groupBy("entity").agg(F.countDistinct("digest").alias("n_entity"))
     wanted = materialize(pairs.select("term").distinct(), "pii-terms")
-    # One row per text: of copies, the one with the smallest id.
-    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
-    counted = materialize(hashed.groupBy("t").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first")), "pii-copies")
-    copied = broadcast_if_small(counted.where("rows > 1").select(F.col("t").alias("_t"), "first"))
-    once = hashed.join(copied, F.col("t") == F.col("_t"), "left").where(F.col("_t").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
     words = once.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     # Summed up in tasks first; only then do the few wanted terms pick theirs.
     n_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(broadcast_if_small(wanted), "term")
-    n = counted.count()
-    told = F.col("both") / F.greatest("n_term", "both")
-    value = 1 - F.log(told) / F.log(F.col("n_entity") / F.lit(max(n, 1)))
+    share = F.col("n_entity") / F.lit(max(n, 1))
+    told = (F.col("both") + share) / (F.greatest("n_term", "both") + 1)
+    value = 1 - F.log(told) / F.log(share)
     return (
         pairs.join(entities, "entity")
         .join(n_term, "term")
@@ -169,16 +186,19 @@ def disclosing_terms(
 
 
 def term_spans(texts: DataFrame, spans: DataFrame, terms: DataFrame) -> DataFrame:
-    """``digest, kind, start, end, match`` of every occurrence of a term in a text with entities.
+    """``digest, kind, start, end, match`` of every occurrence of a term in ``texts``.
 
     The kind is what becomes of it: ``removed`` or ``generalised``. Occurrences inside another span
     are part of that span.
     """
-    named = texts.join(spans.select("digest").distinct(), "digest", "left_semi")
-    words = named.select("digest", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-    hit = words.join(broadcast_if_small(materialize(terms, "pii-disclosing")), "term").select("digest", "term", "action")
+    terms = materialize(terms, "pii-disclosing")
+    words = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")
+    if terms.count() <= MAX_BROADCAST_ROWS:  # texts stay where they are
+        hit = texts.select("digest", "text", words).join(F.broadcast(terms), "term")
+    else:
+        hit = texts.join(texts.select("digest", words).join(terms, "term"), "digest")
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])"), F.col("term"), F.lit(r"(?![\p{L}\p{N}])"))
-    arrays = named.join(hit, "digest").select(
+    arrays = hit.select(
         "digest", "term", F.col("action").alias("kind"),
         F.regexp_extract_all("text", pattern, F.lit(0)).alias("matches"), F.split("text", pattern, F.lit(-1)).alias("pieces"),
     )
@@ -187,7 +207,8 @@ def term_spans(texts: DataFrame, spans: DataFrame, terms: DataFrame) -> DataFram
     outside = found.join(
         base, (found.digest == base.digest) & (found.start < base.e) & (base.s < found.end), "left_anti"
     )
-    return outside.select("digest", "kind", "start", "end", "match")
+    # Rows without an id can bring a text twice.
+    return outside.select("digest", "kind", "start", "end", "match").distinct()
 
 
 def _order(kind: Column) -> Column:
@@ -195,15 +216,28 @@ def _order(kind: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, names)), kind).cast("int")
 
 
-def find(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """All spans by text (``digest, spans``: array of order, start, end, kind), and the texts they lie in."""
+def find(docs: DataFrame, everywhere: bool = False, **options) -> DataFrame:
+    """All spans by text: ``digest, spans``, an array of order, start, end, kind.
+
+    ``everywhere`` looks for disclosing terms in all texts, not only in those with personal data.
+    """
     texts = texts_with_hints(docs)
     base = materialize(base_spans(texts), "pii-spans")
-    terms = disclosing_terms(docs, texts, base, **options)
-    every = base.unionByName(term_spans(texts, base, terms)).select(
+    once, n = one_of_each(docs)
+    terms = disclosing_terms(once, n, texts, base, **options)
+    if everywhere:
+        searched = once.where(F.col("text").isNotNull()).select(digest(F.col("text")).alias("digest"), "text")
+    else:
+        searched = texts.join(base.select("digest").distinct(), "digest", "left_semi")
+    every = base.unionByName(term_spans(searched, base, terms)).select(
         "digest", F.struct(_order(F.col("kind")).alias("order"), "start", "end", "kind").alias("span")
     )
-    return materialize(every.groupBy("digest").agg(F.sort_array(F.collect_list("span")).alias("spans")), "pii-found"), texts
+    return materialize(every.groupBy("digest").agg(F.sort_array(F.collect_list("span")).alias("spans")), "pii-found")
+
+
+def _may_have_spans(everywhere: bool) -> Column:
+    text = F.col("text")
+    return text.isNotNull() if everywhere else F.coalesce(text.rlike(ANY), F.lit(False))
 
 
 def _count(spans: Column, kind: str) -> Column:
@@ -214,17 +248,17 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def report(docs: DataFrame, **options) -> DataFrame:
+def report(docs: DataFrame, everywhere: bool = False, **options) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans``, one row per document.
 
     A null or empty text has no spans: counts of 0, the digest of nothing, an empty list. Equal texts
     have equal spans; repeated rows stay. An empty table gives no rows.
     """
-    found, _ = find(docs, **options)
-    # Texts without a hint cannot have spans. Their keys, of half the length, match none and are
+    found = find(docs, everywhere, **options)
+    # Texts that cannot have spans: their keys, of half the length, match none and are
     # spread evenly.
     none = F.unhex(F.lpad(F.hex(F.xxhash64("doc_id")), 16, "0"))
-    rows = docs.select("doc_id", F.when(F.col("text").rlike(ANY), digest(F.col("text"))).otherwise(none).alias("digest"))
+    rows = docs.select("doc_id", F.when(_may_have_spans(everywhere), digest(F.col("text"))).otherwise(none).alias("digest"))
     joined = rows.join(found, "digest", "left")
     spans = F.coalesce("spans", F.array().cast("array<struct<order:int,start:bigint,end:bigint,kind:string>>"))
     base = F.filter(spans, lambda s: s["order"] <= len(KINDS))
@@ -236,13 +270,13 @@ def report(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def sanitise(docs: DataFrame, **options) -> DataFrame:
+def sanitise(docs: DataFrame, everywhere: bool = False, **options) -> DataFrame:
     """``docs`` with spans replaced in ``text``, same columns and rows.
 
     A base span becomes its kind in brackets, a generalised term ``[TERM]``, a removed one nothing.
     Overlapping spans become one, named after the first. Null stays null.
     """
-    found, texts = find(docs, **options)
+    found = find(docs, everywhere, **options)
     cut = found.select("digest", F.explode("spans").alias("s")).select("digest", "s.*")
     # Overlapping spans form one: a span starts a new one where none before reaches it.
     before = Window.partitionBy("digest").orderBy("start", "order", "end").rowsBetween(Window.unboundedPreceding, -1)
@@ -261,12 +295,12 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     part = F.struct(F.col("start"), previous.alias("from"), F.col("end").alias("to"), mark.alias("mark"))
     parts = merged.select("digest", part.alias("part")).groupBy("digest").agg(F.sort_array(F.collect_list("part")).alias("parts"))
     body = F.array_join(
-        F.transform("parts", lambda p: F.concat(F.substring(F.col("text"), (p["from"] + 1).cast("int"), (p["start"] - p["from"]).cast("int")), p["mark"])), ""
+        F.transform("_parts", lambda p: F.concat(F.substring(F.col("text"), (p["from"] + 1).cast("int"), (p["start"] - p["from"]).cast("int")), p["mark"])), ""
     )
-    tail = F.substring(F.col("text"), (F.element_at("parts", -1)["to"] + 1).cast("int"), F.length("text"))
-    clean = materialize(texts.join(parts, "digest").select(F.col("digest").alias("_digest"), F.concat(body, tail).alias("_clean")), "pii-clean")
+    tail = F.substring(F.col("text"), (F.element_at("_parts", -1)["to"] + 1).cast("int"), F.length("text"))
+    cleaned = materialize(parts.withColumnsRenamed({"digest": "_digest", "parts": "_parts"}), "pii-parts")
     names = list(docs.columns)
-    hinted = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
-    changed = docs.where(hinted).withColumn("_digest", digest(F.col("text"))).join(clean, "_digest", "left")
-    text = F.coalesce("_clean", "text").alias("text")
+    hinted = _may_have_spans(everywhere)
+    changed = docs.where(hinted).withColumn("_digest", digest(F.col("text"))).join(cleaned, "_digest", "left")
+    text = F.when(F.col("_parts").isNotNull(), F.concat(body, tail)).otherwise(F.col("text")).alias("text")
     return changed.select(*[text if c == "text" else F.col(f"`{c}`") for c in names]).unionByName(docs.where(~hinted))
