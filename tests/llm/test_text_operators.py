@@ -247,6 +247,21 @@ def test_entities_named_once_are_protected(spark):
     assert "removed:11:511" in got[308]
 
 
+def test_terms_go_from_texts_without_the_entity(spark, tmp_path):
+    import corpus_pipeline
+    from tilecast.llm import queries
+
+    texts = ["lorem ipsum dolor"] + [f"lorem ipsum Quixby x@q.example dolor {i}" for i in range(4)]
+    texts += ["sit amet elit " + "lorem ipsum dolor " * i for i in range(1, 200)] + ["QUIXBY alone", "quixbyish", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.union(docs.limit(3)).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.spans for r in queries.op7_privacy(spark, str(tmp_path)).collect()}
+    assert got[204] == "removed:0:6" and got[205] == got[206] == got[207] == ""
+    assert all("email:" in got[i] and ":12:18" in got[i] for i in range(1, 5))
+    clean = {r.doc_id: r.text for r in corpus_pipeline.personal_data(spark, docs, "").collect()}
+    assert clean[204] == " alone" and [clean[i] for i in (0, 10, 205, 206, 207)] == [texts[i] for i in (0, 10, 205, 206, 207)]
+
+
 def test_sanitised_text_is_cut_at_the_spans(docs):
     for r in privacy.sanitise(docs.where("doc_id is not null"), support=10**6).dropDuplicates(["doc_id"]).collect():
         text = docs.where(F.col("doc_id") == r.doc_id).first().text

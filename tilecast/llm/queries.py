@@ -49,7 +49,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return privacy.report(_table(spark, sf_dir, "documents"))
+    return privacy.report(_table(spark, sf_dir, "documents"), everywhere=True)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
