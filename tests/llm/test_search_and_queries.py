@@ -71,7 +71,7 @@ def test_query(spark, con, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.queries()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.queries()) == list(range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(spec.queries())
 
 

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilecast.llm import bpe, mixing, perplexity, privacy, repeats, simhash, tokencount, topk, toxicity, weaklabels
+from tilecast.llm import (
+    bpe, importance, minhash, mixing, perplexity, phrases, privacy, repeats, simhash, tokencount, topk, toxicity, weaklabels,
+)
 from tilecast.runtime import shared_path
 
 
@@ -71,9 +73,22 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.importance(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), share=10)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=85, size=3)
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, most=2000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_toxicity, op2_perplexity, op3_mixing, op4_weak_labels, op5_bpe, op6_simhash, op7_privacy,
-        op8_token_counts, op9_repeats, op10_topk,
+        op8_token_counts, op9_repeats, op10_topk, op11_importance, op12_minhash, op13_phrases,
     )
     return {f.__name__: f for f in found}
