@@ -9,13 +9,14 @@ on no key of one collection, so their chance to meet is ``(1 - (1 - s**a)**m) **
 
 Only distinct sets are compared. Candidates come in two steps:
 
-1. Every set under a key is paired with the key's least set. Pairs are verified, and the links give
-   first components. Copies of one text end here, however many there are: no key sends all its pairs.
-2. Keys whose sets still lie in several components compare these in units of bounded size. A key
-   with more than a unit is split by a third collection first, which sets that are similar survive
-   together as surely as before; what is left of it is compared in pairs of chunks. A pair of
-   different components goes on if the sets' sizes and their counts in 64 ranges of hashes allow the
-   similarity at all, which rejects without error.
+1. Every set under a table key is paired with the key's least set. Pairs are verified, and the links
+   give first components. Copies of one text end here, however many there are: no key sends all pairs.
+2. Sets under table keys that still hold several components are compared, in units of bounded size.
+   A unit has the sets that share one short key of the first collection, and looks for agreement in
+   the second itself; with more sets than a unit may have it is split by the second short key, and if
+   that is not enough compared in pairs of chunks. A pair of different components counts at the first
+   short keys that it shares, so once, and goes on if the sets' sizes and their counts in ``RANGES``
+   ranges of hashes allow the similarity at all, which rejects without error.
 
 Sets are not kept: those of candidates are computed again from their texts, and a centre's set meets
 the others in a sorted stream, so no group is held in memory.
@@ -40,10 +41,10 @@ from tilecast.runtime import broadcast_if_small, materialize
 KEYS, ROWS = 8, 2
 
 #: Ranges of hashes whose counts bound the similarity of two sets.
-RANGES = 64
+RANGES = 256
 
 #: Sets compared in one unit.
-UNIT = 1024
+UNIT = 2048
 
 #: Sets that meet a centre in one stretch of the sorted stream.
 STRETCH = 500
@@ -107,24 +108,24 @@ def name_of(hashes: np.ndarray) -> bytes:
 
 
 def counts_in_ranges(hashes: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8)
+    return np.minimum(np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8)
 
 
 def signed(docs: DataFrame, size: int, keys: int, rows: int) -> DataFrame:
-    """``doc_id, n, node, ranges, first, second, third``: size, name and short keys of each document's set."""
+    """``doc_id, mark, n, node, ranges, first, second``: size, name and short keys of each document's set."""
 
     def make():
         def compute(texts, _):
             sets = [shingles(t, size) for t in texts]
             full = [i for i, s in enumerate(sets) if len(s)]
-            short = np.zeros((len(sets), 3, keys), np.uint64)
+            short = np.zeros((len(sets), 2, keys), np.uint64)
             at = 0
             while at < len(full):  # a few sets at once
                 end, total = at, 0
                 while end < len(full) and (end == at or total + len(sets[full[end]]) <= SLICE):
                     total += len(sets[full[end]])
                     end += 1
-                short[full[at:end]] = signature([sets[i] for i in full[at:end]], 3, keys, rows)
+                short[full[at:end]] = signature([sets[i] for i in full[at:end]], 2, keys, rows)
                 at = end
             some = [bool(len(s)) for s in sets]
             columns = [pa.array([x.tolist() if ok else None for ok, x in zip(some, c)], pa.list_(pa.int64())) for c in short.view(np.int64).swapaxes(0, 1)]
@@ -138,7 +139,7 @@ def signed(docs: DataFrame, size: int, keys: int, rows: int) -> DataFrame:
         return compute
 
     marked = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    schema = "n bigint, node binary, ranges binary, first array<bigint>, second array<bigint>, third array<bigint>"
+    schema = "n bigint, node binary, ranges binary, first array<bigint>, second array<bigint>"
     return map_text(marked, ["doc_id", "mark"], "text", schema, make, CHUNK)
 
 
@@ -225,63 +226,75 @@ def possible(n: np.ndarray, ranges: np.ndarray, left: np.ndarray, right: np.ndar
     return 100 * (both - apart) >= percent * (both + apart)
 
 
-def unit_pairs(names: np.ndarray, label: np.ndarray, n: np.ndarray, ranges: np.ndarray, percent: int) -> np.ndarray:
-    """Positions of all pairs of a unit that lie in different components and are possible."""
-    order = np.argsort(n, kind="stable")
-    size, found = n[order], []
-    for i, at in enumerate(order[:-1]):
+def unit_pairs(sets: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of positions in a unit: of different components, sharing a table key first here, and possible.
+
+    ``sets`` has per set ``label, n, ranges, first, second``, and the places ``i`` and ``j`` (-1: any) of the
+    short keys that the unit stands for.
+    """
+    order = np.argsort(sets["n"], kind="stable")
+    label, n, ranges, first, second = (sets[c][order] for c in ("label", "n", "ranges", "first", "second"))
+    i, j = sets["i"][0], sets["j"][0]
+    ends = np.searchsorted(n, 100 * n // percent, side="right")
+    for at in range(len(order) - 1):
         # Sizes are sorted: those that are not too large lie together.
-        end = int(np.searchsorted(size, 100 * size[i] // percent, side="right"))
-        near = order[i + 1 : end]
+        near = np.arange(at + 1, ends[at])
         near = near[label[near] != label[at]]
+        if not len(near):
+            continue
+        near = near[(first[near] == first[at]).argmax(axis=1) == i]
+        agree = second[near] == second[at]
+        near = near[agree.any(axis=1) & ((j < 0) | (agree.argmax(axis=1) == j))]
         if len(near):
             near = near[possible(n, ranges, np.full(len(near), at), near, percent)]
-            found.append(np.stack((np.full(len(near), at), near), axis=1))
-    return np.concatenate([np.empty((0, 2), np.int64), *found])
+            yield order[np.full(len(near), at)], order[near]
+
+
+def units(members: DataFrame, keys: int, unit: int) -> DataFrame:
+    """``unit, i, j, short, label``: the units in which ``members`` (``short, label, first, second``) meet."""
+    short = members.select("short", "label", "second", F.posexplode("first").alias("i", "a"))
+    short = short.withColumn("unit", F.xxhash64("i", "a"))
+    counts = short.groupBy("unit").agg(F.count("*").alias("size")).where(F.col("size") > unit)
+    crowded = broadcast_if_small(materialize(counts.select("unit"), "minhash-crowded"))
+    plain = short.join(crowded, "unit", "left_anti").select("unit", "i", F.lit(-1).alias("j"), "short", "label")
+    split = short.join(crowded, "unit").select("unit", "i", "short", "label", F.posexplode("second").alias("j", "b"))
+    split = split.withColumn("unit", F.xxhash64("unit", "j", "b"))
+    sizes = split.groupBy("unit").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    chunks = sizes.where("low <> high").select("unit", F.ceil(F.col("size") / unit).cast("int").alias("chunks"))
+    split = split.join(broadcast_if_small(materialize(chunks, "minhash-chunks")), "unit")
+    own = F.pmod(F.xxhash64("short", F.lit(1)), F.col("chunks")).cast("int")
+    sent = split.withColumn("p", own).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    pair = F.xxhash64("unit", F.least("p", "q"), F.greatest("p", "q")).alias("unit")
+    return plain.unionByName(sent.select(pair, "i", "j", "short", "label"))
 
 
-def across(keyed: DataFrame, nodes: DataFrame, percent: int, unit: int) -> DataFrame:
-    """``a, b``: possible pairs under one key whose components differ.
+def across(members: DataFrame, nodes: DataFrame, percent: int, keys: int, unit: int) -> DataFrame:
+    """``a, b``: possible pairs of sets that share a table key and whose components differ.
 
-    ``keyed`` has ``key, short, label`` and ``third`` of sets under keys with several components.
+    ``members`` has ``short, label``, a row per set.
     """
-    counts = keyed.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > unit)
-    hot = broadcast_if_small(materialize(counts, "minhash-crowded"))
-    plain = keyed.join(hot, "key", "left_anti").select("key", "short", "label")
-    # Crowded keys: split by the third collection.
-    split = keyed.join(hot.select("key"), "key").select("key", "short", "label", F.posexplode("third").alias("i", "third"))
-    split = split.select(F.xxhash64("key", "i", "third").alias("key"), "short", "label")
-    sizes = split.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
-    still = broadcast_if_small(
-        materialize(sizes.where("low <> high").select("key", F.ceil(F.col("size") / unit).cast("int").alias("chunks")), "minhash-chunks")
-    )
-    split = split.join(still, "key")
-    own = F.pmod(F.xxhash64("short", F.lit(1)), F.col("chunks")).cast("int")
-    sent = split.withColumn("i", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    units = plain.withColumnRenamed("key", "unit").unionByName(
-        sent.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("unit"), "short", "label")
-    )
-    full = units.join(nodes.select("short", "node", "n", "ranges"), "short").select("unit", "node", "label", "n", "ranges")
-    parts = max(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    facts = materialize(members.join(nodes, "short").select("short", "label", "node", "n", "ranges", "first", "second"), "minhash-members")
+    met = units(facts, keys, unit)
+    full = met.join(facts.drop("label"), "short").select("unit", "i", "j", "label", "node", "n", "ranges", "first", "second")
+    parts = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "unit"):
-            key = table["unit"].to_numpy()
             names = np.array(table["node"].to_pylist(), object)
-            label, n = table["label"].to_numpy(), table["n"].to_numpy()
-            ranges = unblob(table["ranges"], np.uint8)[0].reshape(-1, RANGES)
+            sets = {c: table[c].to_numpy() for c in ("unit", "i", "j", "label", "n")}
+            sets["ranges"] = unblob(table["ranges"], np.uint8)[0].reshape(-1, RANGES)
+            for c in ("first", "second"):
+                sets[c] = table[c].combine_chunks().flatten().to_numpy().reshape(-1, keys)
+            key = sets.pop("unit")
             edges = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]))
             for start, end in zip(edges, edges[1:]):
-                part = slice(start, end)
-                pairs = unit_pairs(names[part], label[part], n[part], ranges[part], percent)
-                for at in range(0, len(pairs), 100_000):
-                    left, right = names[part][pairs[at : at + 100_000, 0]], names[part][pairs[at : at + 100_000, 1]]
-                    low = np.where(left < right, left, right)
-                    high = np.where(left < right, right, left)
+                own = names[start:end]
+                for x, y in unit_pairs({c: v[start:end] for c, v in sets.items()}, percent):
+                    low, high = np.where(own[x] < own[y], (own[x], own[y]), (own[y], own[x]))
                     yield pa.RecordBatch.from_arrays([pa.array(low.tolist(), pa.binary()), pa.array(high.tolist(), pa.binary())], names=["a", "b"])
 
     found = full.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(compare, "a binary, b binary")
-    return found.distinct()
+    return found.distinct()  # pairs of chunks bring those inside a chunk again
 
 
 def near_duplicates(
@@ -305,9 +318,9 @@ def near_duplicates(
     short = F.xxhash64("node").alias("short")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("d")
     sets = own.where("node is not null").groupBy("node").agg(
-        best, F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "ranges", "first", "second", "third")]
+        best, F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "ranges", "first", "second")]
     )
-    nodes = materialize(sets.select("node", short, F.col("d.doc_id").alias("first_id"), "d.mark", "copies", "n", "ranges", "first", "second", "third"), "minhash-nodes")
+    nodes = materialize(sets.select("node", short, F.col("d.doc_id").alias("first_id"), "d.mark", "copies", "n", "ranges", "first", "second"), "minhash-nodes")
     keyed = nodes.select("short", F.explode(tensored(F.col("first"), F.col("second"), keys)).alias("key"))
     several = keyed.groupBy("key").agg(F.min("short").alias("centre"), F.max("short").alias("last")).where("centre <> last")
     several = broadcast_if_small(materialize(several.select("key", "centre"), "minhash-keys"))
@@ -327,9 +340,9 @@ def near_duplicates(
     )
     opened = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     opened = broadcast_if_small(materialize(opened.select("key"), "minhash-open"))
-    rest = materialize(labelled.join(opened, "key").join(nodes.select("short", "third"), "short"), "minhash-rest")
+    members = labelled.join(opened, "key").select("short", "label").distinct()
+    again = across(members, nodes, percent, keys, unit)
     # Pairs that step 1 refused need no second look.
-    again = across(rest, nodes, percent, unit)
     again = again.join(
         star.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), ["a", "b"], "left_anti"
     )
