@@ -2,10 +2,10 @@
 
 Runs of words are counted by fingerprint, not by text. In a task, prefix sums of a polynomial over
 the bytes give every word's hash, and prefix sums of a polynomial over the words give every run's
-(Rabin and Karp), all modulo 2**64 in numpy. Spark sums the counts by fingerprint, with the smallest
-digest of a document that has it: the pointer from which the phrase is read once it has proved
-frequent. Each run has a second, independent hash. Where one fingerprint comes with two of them,
-different phrases have met in it, and these are counted by their text.
+(Rabin and Karp), all modulo 2**64 in numpy. Spark sums the counts by fingerprint. For those that prove
+frequent, the smallest digest of a document that has one is kept, the pointer from which the phrase is
+read, and the least and largest of a second, independent hash. Where these differ, different phrases
+have met in one fingerprint, and they are counted by their text.
 
 A run can only be frequent if its parts are. Words are counted first, then pairs of frequent words,
 then longer runs of frequent pairs, so that few of the many rare runs are ever sent. Tasks know what
@@ -34,7 +34,7 @@ from tilecast.runtime import broadcast_if_small, materialize
 CHUNK = 500_000
 
 #: Distinct runs that a task holds before it passes its counts on.
-HELD = 500_000
+HELD = 1_000_000
 
 #: Bits of a Bloom filter, at least and at most (32 MB).
 LEAST_BITS, MOST_BITS = 20, 28
@@ -217,66 +217,84 @@ def _short(fp: np.ndarray, bits: int) -> np.ndarray:
     return (fp >> np.uint64(64 - bits)) << np.uint64(64 - bits)
 
 
+def merged(columns: list[tuple[np.ndarray, ...]], names: int) -> list[np.ndarray]:
+    """Rows summed up by their first ``names`` columns; the last is a count, others are any row's."""
+    parts = [np.concatenate(c) for c in zip(*columns)]
+    order = np.lexsort(parts[:names][::-1])
+    parts = [c[order] for c in parts]
+    if not len(order):
+        return parts
+    new = reduce(np.logical_or, (c[1:] != c[:-1] for c in parts[:names]))
+    first = np.flatnonzero(np.concatenate(([True], new)))
+    return [*(c[first] for c in parts[:-1]), np.add.reduceat(parts[-1], first)]
+
+
+def _summed(columns: Iterator[tuple[np.ndarray, ...]], names: list[str], by: int, held: int) -> Iterator[pa.RecordBatch]:
+    """Batches of rows summed up in the task, ``held`` distinct ones at a time."""
+    parts: list[tuple[np.ndarray, ...]] = []
+    total = 0
+
+    def rows():
+        done = [c.view(np.int64) if c.dtype == np.uint64 else c for c in merged(parts, by)]
+        for a in range(0, len(done[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000]) for c in done], names=names)
+
+    for part in columns:
+        parts.append(part)
+        total += len(part[0])
+        if total > 2 * held:
+            parts = [tuple(merged(parts, by))]
+            total = len(parts[0][0])
+            if total > held:
+                yield from rows()
+                parts, total = [], 0
+    if parts:
+        yield from rows()
+
+
 def count_runs(texts: DataFrame, sizes: range, known: tuple[Filter, int] | None, longest: int, chunk: int = CHUNK, held: int = HELD, bits: int = 64) -> DataFrame:
-    """``size, fp, n, low, high, pointer``: runs of ``sizes`` words by fingerprint.
+    """``size, fp, n``: runs of ``sizes`` words by fingerprint.
 
-    Counted are runs whose stretches of the filter's length are all known to it. ``low`` and
-    ``high`` are the least and largest second hash, equal unless different runs have one fingerprint.
+    Counted are runs whose stretches of the filter's length are all known to it.
     """
     shared = texts.sparkSession.sparkContext.broadcast(known and (known[0].words, known[0].bits, known[1]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         before = shared.value
         own = before and Filter(*before[:2])
-        parts: list[tuple[np.ndarray, ...]] = []
-        total = 0
-
-        def merged() -> tuple[np.ndarray, ...]:
-            size, fp, check, n, pointer = (np.concatenate(c) for c in zip(*parts))
-            order = np.lexsort((size, fp))
-            size, fp, check, n, pointer = (c[order] for c in (size, fp, check, n, pointer))
-            new = (fp[1:] != fp[:-1]) | (check[1:] != check[:-1]) | (size[1:] != size[:-1])
-            first = np.flatnonzero(np.concatenate((np.ones(min(len(fp), 1), bool), new)))
-            return size[first], fp[first], check[first], np.add.reduceat(n, first) if len(n) else n, pointer[first]
-
-        def rows(done):
-            size, fp, check, n, pointer = done
-            for a in range(0, len(fp), 100_000):
-                b = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(size[b]), pa.array(fp[b].view(np.int64)), pa.array(check[b].view(np.int64)), pa.array(n[b]), pa.array(pointer[b])],
-                    names=["size", "fp", "check", "n", "pointer"],
-                )
-
-        for runs, _, marks in _runs(batches, chunk, longest - 1):
-            part_known = _short(runs.fingerprints(before[2]), bits) if own else None
-            ok = own.has(part_known) if own else None
+        for runs, _, _ in _runs(batches, chunk, longest - 1):
+            ok = own.has(_short(runs.fingerprints(before[2]), bits)) if own else None
             for size in sizes:
                 inside = runs.inside(size)
                 if own:
                     for shift in range(size - before[2] + 1):
                         inside &= ok[shift:][: len(inside)]
-                at = np.flatnonzero(inside)
-                fp = _short(runs.fingerprints(size)[at], bits)
-                check = runs.fingerprints(size, 1)[at]
-                order = np.argsort(fp)
-                fp, check, at = fp[order], check[order], at[order]
-                new = np.concatenate((np.ones(min(len(fp), 1), bool), (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])))
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(fp)))
-                pointer = marks[runs.text[at[first]]]
-                parts.append((np.full(len(first), size, np.int32), fp[first], check[first], n, pointer))
-                total += len(first)
-            if len(parts) > 16 or total > held:
-                parts = [merged()]
-                total = len(parts[0][0])
-                if total > held:
-                    yield from rows(parts[0])
-                    parts, total = [], 0
-        if parts:
-            yield from rows(merged())
-
-    rows = texts.mapInArrow(run, "size int, fp bigint, check bigint, n bigint, pointer bigint")
+                fp, n = np.unique(_short(runs.fingerprints(size)[inside], bits), return_counts=True)
+                yield np.full(len(fp), size, np.int32), fp, n
+
+    rows = texts.mapInArrow(lambda batches: _summed(counts(batches), ["size", "fp", "n"], 2, held), "size int, fp bigint, n bigint")
+    return rows.groupBy("size", "fp").agg(F.sum("n").alias("n"))
+
+
+def point(texts: DataFrame, filters: dict[int, Filter], longest: int, chunk: int = CHUNK, held: int = HELD, bits: int = 64) -> DataFrame:
+    """``size, fp, n, low, high, pointer`` of the runs that the filters know.
+
+    ``low`` and ``high`` are the least and largest second hash, equal unless different runs have
+    one fingerprint; ``pointer`` is the least mark of a text that has it.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast({size: (f.words, f.bits) for size, f in filters.items()})
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        own = {size: Filter(*f) for size, f in shared.value.items()}
+        for runs, _, marks in _runs(batches, chunk, longest - 1):
+            for size, known in own.items():
+                fp = _short(runs.fingerprints(size), bits)
+                at = np.flatnonzero(runs.inside(size) & known.has(fp))
+                columns = (np.full(len(at), size, np.int32), fp[at], runs.fingerprints(size, 1)[at], marks[runs.text[at]], np.ones(len(at), np.int64))
+                yield tuple(merged([columns], 3))
+
+    schema = "size int, fp bigint, check bigint, pointer bigint, n bigint"
+    rows = texts.mapInArrow(lambda batches: _summed(places(batches), ["size", "fp", "check", "pointer", "n"], 3, held), schema)
     return rows.groupBy("size", "fp").agg(
         F.sum("n").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.min("pointer").alias("pointer")
     )
@@ -320,17 +338,17 @@ def frequent(docs: DataFrame, least: int = 100, longest: int = 5, chunk: int = C
     """
     name = language(F.col("lang"))
     texts = docs.select(F.col("text"), name.alias("lang"), F.xxhash64(name, F.col("text")).alias("mark"))
-    found, filters, known = [], {}, None
+    filters, known = {}, None
     for sizes in (range(1, 2), range(2, 3), range(3, longest + 1)):
         if sizes.stop > longest + 1 or not len(sizes):
             continue
         counted = count_runs(texts, sizes, known, longest, chunk, bits=bits).where(F.col("n") >= least)
         counted = materialize(counted, "phrase-runs")
-        found.append(counted)
         for size in sizes:
             filters[size] = bloom(counted.where(F.col("size") == size))
         known = (filters[sizes.start], sizes.start)
-    runs = reduce(DataFrame.unionByName, found)
+    # What a filter passes by mistake is counted whole here, and goes.
+    runs = materialize(point(texts, filters, longest, chunk, bits=bits).where(F.col("n") >= least), "phrase-pointed")
     # Each phrase is read where its pointer says.
     plain = runs.where("low = high")
     pointers = broadcast_if_small(materialize(plain.select(F.col("pointer").alias("mark")).distinct(), "phrase-pointers"))
