@@ -6,13 +6,13 @@ probabilities are joins and windows over the counted n-grams (at most one row pe
 context has no more rows than there are symbols). Characters, not words, keep the model's size
 from growing with the vocabulary.
 
-The finished model is a pair of arrays: sorted hashes of (language, n-gram) and their log
-probabilities or back-off weights. Hashes have ``HASH_BITS`` bits, which bounds the arrays whatever
-the corpus; entries that meet in a hash share their mean. Texts are scored where they are read.
+The finished model is a pair of arrays: sorted 64-bit hashes of (language, n-gram) and their log
+probabilities or back-off weights. They grow with the number of distinct n-grams, which levels off as a
+language's do. Texts are counted and scored where they are read, long ones in parts.
 
-A language's bands lie around its median log perplexity. Their width comes from the language's
-median deviation, and, as a short text varies more, from the spread of its symbols over the root
-of the text's length.
+A language's upper band lies above its median log perplexity by a multiple of its median deviation,
+its lower band below a low quantile by a multiple of that quantile's distance from the median. As a
+short text varies more, the spread of its symbols over the root of its length is added to both.
 """
 
 from __future__ import annotations
@@ -34,11 +34,17 @@ ORDER = 5
 #: A symbol: code points below 2048 as they are, digits as one, others hashed to the rest.
 SYMBOL_BITS = 12
 
-#: At most 2**26 entries of 8 bytes, half a gigabyte, in the model that executors receive.
-HASH_BITS = 26
+#: Bits of an n-gram's hash.
+HASH_BITS = 64
 
 #: Distinct n-grams that a task holds before it passes its counts on.
-HELD = 3_000_000
+HELD = 2_000_000
+
+#: Bytes of text handled at once, some 100 bytes of arrays for each. A longer text is cut.
+CHUNK = 500_000
+
+#: Words from which repeated windows are counted by numbers instead of tuples.
+LONG = 200_000
 
 _MASKS = [(1 << (SYMBOL_BITS * n)) - 1 for n in range(ORDER + 1)]
 
@@ -51,15 +57,24 @@ def language(lang: Column) -> Column:
 # --- n-grams -----------------------------------------------------------------------------------
 
 
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Packed 5-grams that end at each symbol and at the end of each text, and counts per text.
-
-    A text is preceded by boundary symbols, so every position has a full 5-gram.
-    """
-    gap = "\0" * (ORDER - 1)
-    decoded = [t.decode("utf-8", "replace") for t in texts]
-    lengths = np.fromiter(map(len, decoded), np.int64, len(decoded))
-    joined = gap + gap.join(decoded) + gap
+def parts_of(text: bytes, limit: int = CHUNK) -> Iterator[tuple[str, str, bool]]:
+    """Parts of a text: the symbols before it, its own, and whether the text ends with it."""
+    before, start = "\0" * (ORDER - 1), 0
+    while True:
+        end = min(start + limit, len(text))
+        while end < len(text) and text[end] & 0xC0 == 0x80:  # inside a code point
+            end += 1
+        own = text[start:end].decode("utf-8", "replace")
+        yield before, own, end == len(text)
+        if end == len(text):
+            return
+        before, start = (before + own)[-(ORDER - 1) :], end
+
+
+def part_grams(parts: list[tuple[str, str, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed 5-grams that end at each symbol of the parts, and at the ends of texts; counts per part."""
+    joined = "".join(before + own + "\0" * last for before, own, last in parts)
+    counts = np.array([len(own) + last for _, own, last in parts], np.int64)
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     code[(code >= 48) & (code <= 57)] = 48
     high = code >= 2048
@@ -67,30 +82,60 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     packed = np.zeros(len(code), np.int64)
     for back in range(ORDER):
         packed[back:] |= code[: len(code) - back] << (SYMBOL_BITS * back)
-    starts = (ORDER - 1) + np.concatenate(([0], np.cumsum(lengths + ORDER - 1)[:-1]))
-    wanted = np.zeros(len(code) + 1, np.int64)
-    wanted[starts] += 1
-    np.add.at(wanted, starts + lengths + 1, -1)  # one past the symbol that ends the text
-    return packed[np.cumsum(wanted)[:-1] > 0], lengths + 1
+    own = np.ones(len(code), bool)
+    starts = np.cumsum(counts + ORDER - 1) - counts - (ORDER - 1)
+    for back in range(ORDER - 1):
+        own[starts + back] = False
+    return packed[own], counts
 
 
-def is_reference(text: bytes) -> bool:
-    """Whether the model learns from a text: plain prose by two cheap signs.
+def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Packed 5-grams that end at each symbol and at the end of each text, and counts per text.
+
+    A text is preceded by boundary symbols, so every position has a full 5-gram.
+    """
+    return part_grams([part for t in texts for part in parts_of(t, max(len(t), 1))])
+
+
+def chunks(texts: list[bytes], limit: int) -> Iterator[tuple[np.ndarray, list[tuple[str, str, bool]]]]:
+    """Parts of all texts in groups of about ``limit`` bytes, and the text that each belongs to."""
+    held: list[tuple[str, str, bool]] = []
+    rows: list[int] = []
+    total = 0
+    for row, text in enumerate(texts):
+        for part in parts_of(text, limit):
+            if held and total + len(part[1]) > limit:
+                yield np.array(rows), held
+                held, rows, total = [], [], 0
+            held.append(part)
+            rows.append(row)
+            total += len(part[1])
+    if held:
+        yield np.array(rows), held
+
+
+def is_plain(line: bytes) -> bool:
+    """Whether the model learns from a line: prose by two cheap signs.
 
     At most a symbol to ten words, and at most three of ten ASCII letters in capitals. A model
-    that also learned junk would find it likely.
+    that also learned junk would find it likely: what follows in junk is learnt from junk alone.
     """
-    symbols = len(text) - len(text.translate(None, b"#*$%&|<>"))
-    capitals = len(text) - len(text.translate(None, _CAPITALS))
-    letters = capitals + len(text) - len(text.translate(None, _CAPITALS.lower()))
-    return 10 * symbols <= len(text.split()) and 10 * capitals <= 3 * letters
+    symbols = len(line) - len(line.translate(None, b"#*$%&|<>"))
+    capitals = len(line) - len(line.translate(None, _CAPITALS))
+    letters = capitals + len(line) - len(line.translate(None, _CAPITALS.lower()))
+    return 10 * symbols <= len(line.split()) and 10 * capitals <= 3 * max(letters, 10)
 
 
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over all reference texts of the corpus, summed up inside tasks first."""
+def learnt(text: bytes) -> bytes:
+    """The plain lines of a text."""
+    return text if is_plain(text) else b"\n".join(filter(is_plain, text.split(b"\n")))
+
+
+def count_grams(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``lang, gram, n`` over the plain lines of all texts, summed up inside tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -113,23 +158,25 @@ def count_grams(docs: DataFrame) -> DataFrame:
                     )
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", chunk):
                 texts: dict[str, list[bytes]] = {}
                 for lang, text in zip(part.column("lang").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
-                    if text and is_reference(text):
-                        texts.setdefault(lang, []).append(text)
+                    plain = learnt(text or b"")
+                    if plain:
+                        texts.setdefault(lang, []).append(plain)
                 for lang, own in texts.items():
-                    keys, n = np.unique(grams(own)[0], return_counts=True)
-                    held.setdefault(lang, []).append((keys, n))
-                    size += len(keys)
-                    if len(held[lang]) > 8:
-                        size -= sum(len(k) for k, _ in held[lang])
-                        held[lang] = [merged(held[lang])]
-                        size += len(held[lang][0][0])
-                if size > HELD:
-                    yield from rows()
-                    held.clear()
-                    size = 0
+                    for _, group in chunks(own, chunk):
+                        keys, n = np.unique(part_grams(group)[0], return_counts=True)
+                        held.setdefault(lang, []).append((keys, n))
+                        size += len(keys)
+                        if len(held[lang]) > 8:
+                            size -= sum(len(k) for k, _ in held[lang])
+                            held[lang] = [merged(held[lang])]
+                            size += len(held[lang][0][0])
+                        if size > HELD:
+                            yield from rows()
+                            held.clear()
+                            size = 0
         yield from rows()
 
     found = docs.select("text", language(F.col("lang")).alias("lang")).mapInArrow(run, "lang string, gram bigint, n bigint")
@@ -210,7 +257,7 @@ def slot(gram: np.ndarray, salts, bits: int = HASH_BITS) -> np.ndarray:
     h = gram.astype(np.uint64) ^ np.asarray(salts, np.uint64)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((h ^ (h >> np.uint64(31))) >> np.uint64(64 - bits)).astype(np.uint32)
+    return (h ^ (h >> np.uint64(31))) >> np.uint64(64 - bits)
 
 
 class HashArrays:
@@ -219,9 +266,9 @@ class HashArrays:
     def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int = HASH_BITS):
         self.keys, self.values = keys, values
         self.bits = bits
-        self.shift = max(0, bits - 20)
-        buckets = np.arange((1 << (bits - self.shift)) + 1, dtype=np.uint64) << np.uint64(self.shift)
-        self.start = np.searchsorted(self.keys, buckets).astype(np.int32)
+        self.shift = np.uint64(max(0, bits - 20))
+        buckets = np.arange(1 << (bits - int(self.shift)), dtype=np.uint64) << self.shift
+        self.start = np.append(np.searchsorted(self.keys, buckets), len(keys))
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values, and whether the hash is there."""
@@ -239,7 +286,7 @@ class HashArrays:
 
 
 def hash_arrays(model: DataFrame, bits: int = HASH_BITS) -> HashArrays:
-    """The model's tables as arrays; no more than ``2 ** bits`` entries reach the driver."""
+    """The model's tables as arrays: 12 bytes for each n-gram of a language reach the driver."""
 
     def run(batches):
         for batch in batches:
@@ -247,12 +294,12 @@ def hash_arrays(model: DataFrame, bits: int = HASH_BITS) -> HashArrays:
             salts = {x: salt(*x) for x in set(zip(langs, kinds))}
             s = np.array([salts[x] for x in zip(langs, kinds)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot(batch.column("gram").to_numpy(), s, bits).astype(np.int64)), batch.column("value")], names=["key", "value"]
+                [pa.array(slot(batch.column("gram").to_numpy(), s, bits).view(np.int64)), batch.column("value")], names=["key", "value"]
             )
 
     rows = model.mapInArrow(run, "key bigint, value double").groupBy("key").agg(F.avg("value").cast("float").alias("value"))
     table = rows.toArrow()
-    keys, values = table["key"].to_numpy().astype(np.uint32), table["value"].to_numpy()
+    keys, values = table["key"].to_numpy().view(np.uint64), table["value"].to_numpy()
     order = np.argsort(keys)
     return HashArrays(keys[order], np.ascontiguousarray(values[order], np.float32), bits)
 
@@ -293,21 +340,43 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     chars = points - (len(text) - len(text.translate(None, b" \t\n\x0b\x0c\r")))
     symbols = len(text) - len(text.translate(None, b"#*$%&|<>"))
     lines = [x for x in text.split(b"\n") if x and not x.isspace()] if b"\n" in text else []
-    windows = list(zip(words, words[1:], words[2:], words[3:], words[4:]))
-    repeated = 0
-    if len(set(windows)) < len(windows):
-        seen, more = set(), set()
-        for w in windows:
-            (more if w in seen else seen).add(w)
-        mark = bytearray(n)
-        for i, w in enumerate(windows):
-            if w in more:
-                mark[i : i + 5] = b"\1\1\1\1\1"
-        repeated = sum(mark)
+    repeated = _repeated(words) if n < LONG else _repeated_of_many(words)
     return n, chars, symbols, len(lines) - len(set(lines)), repeated
 
 
-def score(docs: DataFrame, arrays: HashArrays, keep: list[str]) -> DataFrame:
+def _repeated(words: list[bytes]) -> int:
+    windows = list(zip(words, words[1:], words[2:], words[3:], words[4:]))
+    if len(set(windows)) == len(windows):
+        return 0
+    seen, more = set(), set()
+    for w in windows:
+        (more if w in seen else seen).add(w)
+    mark = bytearray(len(words))
+    for i, w in enumerate(windows):
+        if w in more:
+            mark[i : i + 5] = b"\1\1\1\1\1"
+    return sum(mark)
+
+
+def _repeated_of_many(words: list[bytes]) -> int:
+    """The same by numbers of words, of pairs, of fours and of fives."""
+    number: dict[bytes, int] = {}
+    one = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+
+    def joined(a, b):
+        return np.unique(a * (b.max() + 1) + b, return_inverse=True)[1]
+
+    two = joined(one[:-1], one[1:])
+    four = joined(two[:-2], two[2:])
+    five = joined(four[:-1], one[4:])
+    twice = np.bincount(five)[five] > 1
+    mark = np.zeros(len(words), bool)
+    for i in range(5):
+        mark[i : i + len(five)] |= twice
+    return int(mark.sum())
+
+
+def score(docs: DataFrame, arrays: HashArrays, keep: list[str], chunk: int = CHUNK) -> DataFrame:
     """Adds the base counts, ``log_perplexity`` and ``deviation`` (of the log probabilities), ``n_symbols_read``.
 
     ``docs`` has ``text`` and ``language`` (see :func:`language`), which ``keep`` includes.
@@ -320,12 +389,18 @@ def score(docs: DataFrame, arrays: HashArrays, keep: list[str]) -> DataFrame:
 
         def compute(texts, part):
             counts = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, 5)
-            packed, n = grams(texts)
-            logs = log_probabilities(packed, part.column("language").to_pylist(), n, held)
-            firsts = np.cumsum(n) - n
-            mean = np.add.reduceat(logs, firsts) / n
-            square = np.add.reduceat(logs * logs, firsts) / n
-            return [*map(pa.array, counts.T.copy()), -mean, np.sqrt(np.maximum(square - mean * mean, 0)), n]
+            langs = part.column("language").to_pylist()
+            n, total, square = np.zeros((3, len(texts)))
+            for rows, parts in chunks(texts, chunk):
+                packed, read = part_grams(parts)
+                logs = log_probabilities(packed, [langs[r] for r in rows], read, held)
+                row = np.repeat(rows, read)
+                n += np.bincount(row, minlength=len(texts))
+                total += np.bincount(row, weights=logs, minlength=len(texts))
+                square += np.bincount(row, weights=logs * logs, minlength=len(texts))
+            mean = total / n
+            deviation = np.sqrt(np.maximum(square / n - mean * mean, 0))
+            return [*map(pa.array, counts.T.copy()), -mean, deviation, n.astype(np.int64)]
 
         return compute
 
@@ -333,11 +408,12 @@ def score(docs: DataFrame, arrays: HashArrays, keep: list[str]) -> DataFrame:
         "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
         "log_perplexity double, deviation double, n_symbols_read bigint"
     )
-    return map_text(docs, keep, "text", schema, make)
+    return map_text(docs, keep, "text", schema, make, chunk)
 
 
-def bands(scored: DataFrame) -> DataFrame:
-    """``language, middle, spread, symbol_spread``: medians over the documents that pass the counts.
+def bands(scored: DataFrame, low: float = 0.05) -> DataFrame:
+    """``language, middle, low, spread, symbol_spread``: medians, and the quantile ``low``, over the
+    documents that pass the counts.
 
     Log perplexities are counted by thousandths first, so medians are exact and need no sort of
     documents.
@@ -347,26 +423,29 @@ def bands(scored: DataFrame) -> DataFrame:
     )
     counted = materialize(binned.groupBy("language", "x", "d").agg(F.count("*").alias("n")), "band-bins")
     middle = counted.groupBy("language").agg(
-        F.percentile("x", F.lit(0.5), F.col("n")).alias("middle"), F.percentile("d", F.lit(0.5), F.col("n")).alias("symbol_spread")
+        F.percentile("x", F.lit(0.5), F.col("n")).alias("middle"), F.percentile("x", F.lit(low), F.col("n")).alias("low"), F.percentile("d", F.lit(0.5), F.col("n")).alias("symbol_spread")
     )
     away = counted.join(broadcast_if_small(middle), "language")
     return away.groupBy("language").agg(
         F.first("middle").alias("middle"),
+        F.first("low").alias("low"),
         F.first("symbol_spread").alias("symbol_spread"),
         F.percentile(F.abs(F.col("x") - F.col("middle")), F.lit(0.5), F.col("n")).alias("spread"),
     )
 
 
-def judge(docs: DataFrame, upper: float = 10.0, lower: float = 50.0, short: float = 4.0, least: float = 0.01) -> DataFrame:
+def judge(docs: DataFrame, upper: float = 10.0, lower: float = 1.5, short: tuple[float, float] = (4.0, 2.0), least: float = 0.01) -> DataFrame:
     """One row per document: counts, ``base_failed``, ``perplexity``, its bands, and ``kept``.
 
     Args:
         docs: has ``doc_id, lang, text``.
-        upper, lower: width of the bands in median absolute deviations of the language. Text
-            that the corpus repeats is likely without being bad, so the lower band is wide and
-            meets degenerate text.
-        short: what is added for a text of n symbols, in spreads of a symbol over the root of n.
-        least: smallest deviation assumed, in nats.
+        upper: height of the upper band over the median in median absolute deviations of the language.
+        lower: depth of the lower band below the language's 5 % quantile, in distances of that quantile
+            from the median. Text that the corpus repeats is likely without being bad, so the band
+            follows the quantile; far below it is degenerate text.
+        short: what is added (upper, lower) for a text of n symbols, in spreads of a symbol over the
+            root of n.
+        least: smallest deviation, and distance of the quantile, assumed, in nats.
 
     ``base_failed`` (fewer than 10 words, or over 20 % of the words in repeated windows) rejects
     without regard to perplexity. A null text has no words and is rejected; a null language is a
@@ -380,12 +459,12 @@ def judge(docs: DataFrame, upper: float = 10.0, lower: float = 50.0, short: floa
         score(named, arrays, ["doc_id", "language", "mark"]).withColumn("base_failed", failed), "perplexity"
     )
     limits = broadcast_if_small(materialize(bands(scored), "bands"))
-    noise = short * F.col("symbol_spread") / F.sqrt("n_symbols_read")
+    noise = F.col("symbol_spread") / F.sqrt("n_symbols_read")
     width = F.greatest("spread", F.lit(least))
     return (
         scored.join(limits, "language", "left")
-        .withColumn("upper_band", F.exp(F.col("middle") + upper * width + noise))
-        .withColumn("lower_band", F.exp(F.col("middle") - lower * width - noise))
+        .withColumn("upper_band", F.exp(F.col("middle") + upper * width + short[0] * noise))
+        .withColumn("lower_band", F.exp(F.col("low") - lower * F.greatest(F.col("middle") - F.col("low"), F.lit(least)) - short[1] * noise))
         .withColumn("perplexity", F.exp("log_perplexity"))
         .withColumn(
             "kept",
@@ -396,7 +475,8 @@ def judge(docs: DataFrame, upper: float = 10.0, lower: float = 50.0, short: floa
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that :func:`judge` rejects; same columns."""
+    """``docs`` without the rows that :func:`judge` rejects; same columns, whatever these are called."""
     rejected = judge(docs, **options).where(~F.col("kept")).select(F.col("mark").alias("_mark")).distinct()
-    same = F.xxhash64("doc_id", "lang", "text") == F.col("_mark")
-    return docs.join(broadcast_if_small(materialize(rejected, "rejected")), same, "left_anti")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.xxhash64("doc_id", "lang", "text").alias("_own"))
+    same = F.col("_own") == F.col("_mark")
+    return packed.join(broadcast_if_small(materialize(rejected, "rejected")), same, "left_anti").select("_row.*")
