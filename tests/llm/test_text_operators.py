@@ -403,7 +403,7 @@ def test_kneser_ney_against_dictionaries(spark):
     arrays = perplexity.hash_arrays(perplexity.train(docs))
     packed, n = perplexity.grams([t.encode() for t in new])
     got = perplexity.log_probabilities(packed, ["en"] * len(new), n, arrays)
-    p = slow_kneser_ney([t for t in train if perplexity.is_reference(t.encode())])
+    p = slow_kneser_ney([t for t in train if perplexity.is_plain(t.encode())])
     want = []
     for t in new:
         s = "\0" * 4 + re.sub("[0-9]", "0", t) + "\0"
@@ -435,6 +435,63 @@ def test_junk_is_unlikely_and_prose_is_not(spark):
     assert sorted(r.doc_id for r in got.where("not kept").collect()) == list(range(200, 205))
 
 
+def test_degenerate_text_is_too_likely(spark):
+    """Prose of many words; a text of few common ones passes the counts and lies below the band."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    prose = [" ".join(rng.choice(words) for _ in range(120)) for _ in range(300)]
+    few = [" ".join(rng.choice(words[:6]) for _ in range(400)) for _ in range(3)]
+    rows = [(i, t, "en") for i, t in enumerate(prose + few)]
+    got = {r.doc_id: r for r in perplexity.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert all(got[i].kept for i in range(300))
+    for i in range(300, 303):
+        assert not got[i].base_failed and got[i].perplexity < got[i].lower_band and not got[i].kept
+
+
+def test_all_texts_are_counted():
+    """Of a text with junk the plain lines are learnt."""
+    text = "A plain line of prose.\n#* $ %% |\nANOTHER LINE IN CAPITALS ONLY\nand a last one".encode()
+    assert perplexity.learnt(text) == b"A plain line of prose.\nand a last one"
+    assert perplexity.learnt("日本語のテキスト USB を使う".encode()) != b""
+
+
+def test_parts_of_a_text_count_like_the_whole(spark):
+    rng = random.Random(13)
+    texts = ["".join(rng.choice("ab é日\U0001f600\n1") for _ in range(n)) for n in (0, 1, 3, 40, 300)]
+    whole = perplexity.grams([t.encode() for t in texts])
+    for limit in (1, 7, 50):
+        found = [np.concatenate([perplexity.part_grams(p)[0] for _, p in perplexity.chunks([t.encode()], limit)]) for t in texts]
+        assert (np.concatenate(found) == whole[0]).all() and [len(f) for f in found] == list(whole[1])
+    words = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(3000)]
+    for n in (5, 6, 50, 3000):
+        assert perplexity._repeated(words[:n]) == perplexity._repeated_of_many(words[:n])
+
+
+def test_no_unique_text_goes_with_a_shared_id(spark):
+    a, b = "one text about rivers and their banks in spring", "something else entirely, on the price of copper wire"
+    for rows, want in (
+        ([(3, a), (5, a), (5, b)], [(3, a), (5, b)]),
+        ([(5, a), (5, b)], [(5, a), (5, b)]),
+        ([(5, a), (5, a), (None, a)], [(5, a), (None, a)]),
+    ):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        assert key(map(tuple, simhash.deduplicate(df).collect())) == key(want)
+
+
+def test_any_column_names_may_come_along(spark):
+    names = "cut certain inclusion open _u _source _cut_source _id _mark _own _parts _digest _head _row _n rank before words fp root first spans term".split()
+    schema = "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(i, f"text {i} of ten words or more, so that it stays in u{i}@x.example " + "abcdefg hij"[i % 7 :], "en", f"s{i % 2}", *names) for i in range(12)]
+    df = spark.createDataFrame(rows, schema)
+    for stage in (perplexity.keep_good, simhash.deduplicate, privacy.sanitise, mixing.mix):
+        got = stage(df)
+        assert got.columns == df.columns and got.count() > 0
+        assert got.select(*[f"`{n}`" for n in names]).distinct().collect() == [tuple(names)]
+    planned = mixing.plan_mix(df)
+    assert planned.columns == [*df.columns, "size", "source_size", "target", "copies"]
+    assert planned.select(*[f"`{n}`" for n in names]).distinct().collect() == [tuple(names)]
+
+
 def test_em_finds_the_better_labellers():
     rng = np.random.default_rng(9)
     good = rng.random(20_000) < 0.8

@@ -108,14 +108,15 @@ def plan_mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, seed: int =
         .select(plan.source, "open", "size", pareto(F.col("u"), F.col("inclusion")).alias("rank"))
     )
     cuts = broadcast_if_small(_cuts(ranked))
-    rows = docs.drop("size", "source_size", "target", "copies").withColumns({"size": size, "_u": u})
-    placed = rows.join(broadcast_if_small(plan.withColumnRenamed("source", "_source")), F.col("source").eqNullSafe(F.col("_source")), "left")
+    # The row travels as one value, so that its columns may have any names.
+    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), "source", size.alias("_size"), u.alias("_u"))
+    goal = broadcast_if_small(plan.withColumnRenamed("source", "_source"))
+    placed = rows.join(goal, F.col("source").eqNullSafe(F.col("_source")), "left")
     placed = placed.join(cuts.withColumnRenamed("source", "_cut_source"), F.col("source").eqNullSafe(F.col("_cut_source")), "left")
     extra = (F.col("inclusion") > 0) & (pareto(F.col("_u"), F.col("inclusion")) <= F.col("cut"))
     copies = F.col("certain") + F.coalesce(extra, F.lit(False)).cast("int")
-    return placed.withColumn("copies", copies.cast("int")).drop(
-        "_u", "_source", "_cut_source", "certain", "inclusion", "open", "cut"
-    )
+    return placed.select("_row.*", F.col("_size").alias("size"), "source_size", "target", copies.cast("int").alias("copies"))
 
 
 def pareto(u: Column, inclusion: Column) -> Column:

@@ -301,6 +301,9 @@ def sanitise(docs: DataFrame, everywhere: bool = False, **options) -> DataFrame:
     cleaned = materialize(parts.withColumnsRenamed({"digest": "_digest", "parts": "_parts"}), "pii-parts")
     names = list(docs.columns)
     hinted = _may_have_spans(everywhere)
-    changed = docs.where(hinted).withColumn("_digest", digest(F.col("text"))).join(cleaned, "_digest", "left")
+    # The row travels as one value, so that its columns may have any names.
+    packed = docs.where(hinted).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), "text", digest(F.col("text")).alias("_own"))
+    changed = packed.join(cleaned, F.col("_own") == F.col("_digest"), "left")
     text = F.when(F.col("_parts").isNotNull(), F.concat(body, tail)).otherwise(F.col("text")).alias("text")
-    return changed.select(*[text if c == "text" else F.col(f"`{c}`") for c in names]).unionByName(docs.where(~hinted))
+    cells = [text if c == "text" else F.col("_row")[c].alias(c) for c in names]
+    return changed.select(*cells).unionByName(docs.where(~hinted))

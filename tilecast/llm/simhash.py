@@ -212,6 +212,11 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     )
 
 
+def roots_of(distinct: DataFrame, distance: int, blocks: int | None) -> DataFrame:
+    """``fp, root`` of the distinct fingerprints ``fp`` that have a link."""
+    return components(links(distinct.select("fp"), distance, blocks)).select(F.col("node").alias("fp"), "root")
+
+
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, blocks: int | None = None) -> DataFrame:
     """``doc_id, fingerprint, component_id``, one row per document.
 
@@ -222,8 +227,7 @@ def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, blocks
     """
     fps = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp-first")
-    roots = components(links(distinct.select("fp"), distance, blocks))
-    named = roots.join(distinct, roots.node == distinct.fp).select("fp", "root", "first")
+    named = roots_of(distinct, distance, blocks).join(distinct, "fp")
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     linked = named.join(least, "root").select("fp", F.col("least").alias("component_id"))
     label = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
@@ -231,19 +235,30 @@ def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = 4, blocks
     return fps.join(label, "fp").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component: the one that the component is named after.
+def deduplicate(docs: DataFrame, distance: int = 4, shingle: int = 4, blocks: int | None = None) -> DataFrame:
+    """``docs`` with one row of each component, same columns: the smallest by id, then by text.
 
-    Documents without an id are not judged and stay. Of rows that share an id the first by
-    content stays.
+    Rows are judged by themselves: rows that share an id but not a text may stay both, and no text goes
+    unless one that it is linked with stays. Documents without an id are not judged and stay. Of rows
+    that share id and text the first by content stays.
     """
-    groups = near_duplicates(docs, **options).where(F.col("doc_id").isNotNull())
-    rows = groups.groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("named")
-    )
-    chosen = materialize(rows.where("named = 1").select(F.col("doc_id").alias("_id"), "n"), "simhash-chosen")
-    same = F.col("doc_id") == F.col("_id")
-    once = docs.join(broadcast_if_small(chosen.where("n = 1")), same, "left_semi")
-    several = docs.join(broadcast_if_small(chosen.where("n > 1")), same, "left_semi")
-    first = several.groupBy("doc_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_r")).select("_r.*")
-    return once.unionByName(first).unionByName(docs.where(F.col("doc_id").isNull()))
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(columns, "doc_id", "text", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_digest"))
+
+    def make():
+        return lambda texts, _: [pa.array([fingerprint(t, shingle) for t in texts], pa.int64())]
+
+    known = rows.where(F.col("doc_id").isNotNull())
+    fps = materialize(map_text(known, ["doc_id", "_digest"], "text", "fp bigint", make), "fingerprints")
+    first = F.min(F.struct("doc_id", "_digest")).alias("first")
+    distinct = materialize(fps.groupBy("fp").agg(first), "fp-first")
+    found = roots_of(distinct, distance, blocks)
+    heads = distinct.join(found, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    heads = heads.select(F.col("first.doc_id").alias("_id"), F.col("first._digest").alias("_head"))
+    counts = fps.groupBy(F.col("doc_id").alias("_id"), F.col("_digest").alias("_head")).agg(F.count("*").alias("_n"))
+    chosen = materialize(heads.join(counts, ["_id", "_head"]), "simhash-chosen")
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_head"))
+    once = known.join(broadcast_if_small(chosen.where("_n = 1")), same, "left_semi").select("_row")
+    several = known.join(broadcast_if_small(chosen.where("_n > 1")), same, "left_semi")
+    one = several.groupBy("doc_id", "_digest").agg(F.min("_row").alias("_row")).select("_row")
+    return once.union(one).union(rows.where(F.col("doc_id").isNull()).select("_row")).select("_row.*")
