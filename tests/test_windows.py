@@ -6,7 +6,8 @@ from tilecast import MASTER, SourceGrid
 from tilecast.functions import kernels
 from tilecast.functions.columns import feature_names
 from tilecast.operators import focal
-from tilecast.operators.resample import resample
+from tilecast.operators.resample import resample, resample_scenes
+from tilecast.operators.windows import Layer, scene_grids
 from tilecast.sources import imagery
 
 T = 6
@@ -191,6 +192,113 @@ def test_resampling_against_brute_force(tiles, targets, grid, method, max_broadc
                     np.testing.assert_allclose(values[j, i], want, err_msg=str((r.col, r.row, i, j)))
 
 
+def points_of(fx, fy, method):
+    """Source pixels of a position, and their weights."""
+    if method == "nearest":
+        return [(int(np.floor(fx + 0.5)), int(np.floor(fy + 0.5)), 1.0)]
+    x0, y0 = int(np.floor(fx)), int(np.floor(fy))
+    return [(x, y, (1 - abs(fx - x)) * (1 - abs(fy - y))) for x in (x0, x0 + 1) for y in (y0, y0 + 1)]
+
+
+def slow_resample(image, col, row, grid, method):
+    """A target cell of an image that lies on ``grid``; NaN where no pixel with data is near."""
+    out = np.full((T, T), np.nan)
+    for j in range(T):
+        for i in range(T):
+            fx = (col * T + i) * grid.scale_x + grid.offset_x
+            fy = (row * T + j) * grid.scale_y + grid.offset_y
+            total = weight = 0.0
+            for x, y, w in points_of(fx, fy, method):
+                if 0 <= x < image.shape[1] and 0 <= y < image.shape[0] and w > 0 and not np.isnan(image[y, x]):
+                    total += w * image[y, x]
+                    weight += w
+            out[j, i] = total / weight if weight else np.nan
+    return out
+
+
+def covered(season, name, band):
+    image = IMAGES[season, name][band].copy()
+    gone = [c for c in range(COLS) if c not in columns_of(name)]
+    for c in gone:
+        image[:, c * T : (c + 1) * T] = np.nan
+    return image
+
+
+OWN = {
+    "left": SourceGrid(offset_x=0.25, offset_y=-0.5),
+    "right": SourceGrid(scale_x=0.5, offset_x=7.25, scale_y=0.75, offset_y=1.125),
+    "all": SourceGrid(scale_x=1.5, offset_x=-2.125, scale_y=1.25, offset_y=0.375),
+}
+
+
+@pytest.mark.parametrize("max_broadcast", [10**6, 0])
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
+def test_scenes_of_different_grids_in_one_call(spark, tiles, targets, method, max_broadcast):
+    rows = [(name, g.scale_x, g.offset_x, g.scale_y, g.offset_y) for name, g in OWN.items() if name != "left" or method == "nearest"]
+    grids = spark.createDataFrame(rows, "scene_id string, scale_x double, offset_x double, scale_y double, offset_y double")
+    got = resample_scenes(tiles, targets, LAYOUT, grids, method, ["GS", "OS"], BANDS, max_broadcast=max_broadcast).collect()
+    listed = {r[0] for r in rows}
+    assert len(got) == targets.count() and {r.GS for r in got} == {"left", "right"}
+    for r in got:
+        for season, name in (("GS", r.GS), ("OS", r.OS)):
+            grid = OWN[name] if name in listed else SourceGrid()  # a scene without a row is aligned
+            for b in BANDS:
+                want = slow_resample(covered(season, name, b - 1), r.col, r.row, grid, method)
+                np.testing.assert_allclose(as_array(r[f"{season}_raw_{b}"]), want, err_msg=str((r.col, r.row, name)))
+
+
+@pytest.mark.parametrize("max_broadcast", [10**6, 0])
+def test_features_of_scenes_of_different_grids(spark, tiles, targets, max_broadcast):
+    """The halo too is read through each scene's grid: like features of one grid, scene by scene."""
+    rows = [(name, g.scale_x, g.offset_x, g.scale_y, g.offset_y) for name, g in OWN.items()]
+    grids = spark.createDataFrame(rows, "scene_id string, scale_x double, offset_x double, scale_y double, offset_y double")
+    mixed = focal.features(tiles, targets, LAYOUT, ["GS"], BANDS, grids=grids, max_broadcast=max_broadcast).collect()
+    for name in ("left", "right"):
+        alone = focal.features(tiles, targets.where(F.col("GS") == name), LAYOUT, ["GS"], BANDS, grid=OWN[name])
+        want = {(r.col, r.row): r for r in alone.collect()}
+        found = [r for r in mixed if r.GS == name]
+        assert len(found) == len(want)
+        for r in found:
+            for c in feature_names(["GS"], BANDS):
+                np.testing.assert_allclose(as_array(r[c]), as_array(want[r.col, r.row][c]))
+
+
+def test_grids_from_transforms(spark):
+    corners = [("a", LAYOUT.xmin, LAYOUT.ymax, LAYOUT.pixel_width, LAYOUT.pixel_height), ("b", LAYOUT.xmin - 0.01, LAYOUT.ymax + 0.02, 0.003, 0.004)]
+    table = spark.createDataFrame(corners, "scene_id string, xmin double, ymax double, pixel_width double, pixel_height double")
+    for r in scene_grids(table, LAYOUT).collect():
+        want = SourceGrid.from_transform(LAYOUT, *next(c[1:] for c in corners if c[0] == r.scene_id))
+        np.testing.assert_allclose(r[1:], (want.scale_x, want.offset_x, want.scale_y, want.offset_y), atol=1e-9)
+
+
+@pytest.mark.parametrize("max_broadcast", [10**6, 0])
+@pytest.mark.parametrize("method", ["bilinear", "nearest"])
+def test_coarser_layers_join_the_group(spark, tiles, targets, method, max_broadcast):
+    rng = np.random.default_rng(9)
+    image = rng.integers(0, 100, (2 * T, 2 * T)).astype(float)
+    image[rng.random(image.shape) < 0.1] = np.nan
+    rows = [
+        (c, r, [None if np.isnan(v) else float(v) for v in image[r * T : (r + 1) * T, c * T : (c + 1) * T].ravel()])
+        for c in range(2) for r in range(2) if (c, r) != (1, 1)
+    ]
+    image[T:, T:] = np.nan  # a tile that the layer does not have
+    coarse = spark.createDataFrame(rows, "col bigint, row bigint, height array<double>")
+    masks = spark.createDataFrame([(0, 0, [1] * 36)], "col bigint, row bigint, mask array<int>")
+    grid = SourceGrid(scale_x=0.25, offset_x=-0.375, scale_y=0.5, offset_y=-0.25)
+    got = focal.features(
+        tiles, targets, LAYOUT, bands=BANDS, layers={"height": Layer(coarse, grid, method), "mask": masks}, max_broadcast=max_broadcast
+    ).collect()
+    plain = {(r.col, r.row, r.GS): r for r in focal.features(tiles, targets, LAYOUT, bands=BANDS).collect()}
+    assert len(got) == len(plain)
+    for r in got:
+        np.testing.assert_allclose(as_array(r.height), slow_resample(image, r.col, r.row, grid, method))
+        assert (r.mask is None) == ((r.col, r.row) != (0, 0))
+        for c in feature_names(bands=BANDS):
+            np.testing.assert_array_equal(as_array(r[c]), as_array(plain[r.col, r.row, r.GS][c]))
+    far = focal.features(tiles, targets, LAYOUT, bands=BANDS, layers={"height": Layer(coarse.where("false"), grid)}, max_broadcast=max_broadcast)
+    assert all(r.height is None for r in far.select("height").collect())
+
+
 def test_slope_of_a_plane():
     y, x = np.mgrid[0:5, 0:5].astype(float)
     got = kernels.slope((3 * x + 4 * y)[None], 1.0, 1.0)

@@ -104,11 +104,16 @@ def poisson_draw(mean: Column, seed: int | str, *keys: str | Column) -> Column:
     """
     small = F.aggregate(
         F.sequence(F.lit(1), F.lit(80)),
-        F.struct(F.exp(-mean).alias("term"), F.exp(-mean).alias("total"), F.lit(0).cast("bigint").alias("n")),
+        # The number is hashed once and handed on from step to step.
+        F.struct(
+            F.exp(-mean).alias("term"), F.exp(-mean).alias("total"), F.lit(0).cast("bigint").alias("n"),
+            uniform(seed, *keys).alias("u"),
+        ),
         lambda a, i: F.struct(
             (a["term"] * mean / i).alias("term"),
             (a["total"] + a["term"] * mean / i).alias("total"),
-            (a["n"] + (uniform(seed, *keys) >= a["total"]).cast("bigint")).alias("n"),
+            (a["n"] + (a["u"] >= a["total"]).cast("bigint")).alias("n"),
+            a["u"].alias("u"),
         ),
         lambda a: a["n"],
     )

@@ -17,7 +17,7 @@ MAX_DEPTH = 15
 SUBSAMPLING = 0.1
 
 #: Rows of training data in one partition, about.
-PARTITION_ROWS = 50_000
+PARTITION_ROWS = 5_000
 
 
 def drop_nodata(df: DataFrame, columns: Sequence[str]) -> DataFrame:

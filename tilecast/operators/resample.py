@@ -26,3 +26,23 @@ def resample(
     return buffered_windows(
         tiles, targets, layout, 0, seasons, bands, grid=grid, method=method, **reading
     )
+
+
+def resample_scenes(
+    tiles: DataFrame,
+    targets: DataFrame,
+    layout: Layout,
+    grids: DataFrame,
+    method: str = "bilinear",
+    seasons: Sequence[str] = SEASONS,
+    bands: Sequence[int] = BANDS,
+    **reading,
+) -> DataFrame:
+    """The same for scenes that each have a grid of their own.
+
+    ``grids`` has ``scene_id`` and its grid's ``scale_x, offset_x, scale_y, offset_y``, a row per scene
+    (:func:`tilecast.operators.windows.scene_grids` makes it from transforms). Which source tiles a
+    target reads, and with which weights, follows from its scene's row. Scenes without a row lie on
+    the layout's own pixels.
+    """
+    return buffered_windows(tiles, targets, layout, 0, seasons, bands, grids=grids, method=method, **reading)

@@ -120,6 +120,27 @@ class Fixtures:
     def tiles(self) -> DataFrame:
         return assemble_tiles(self.scene_px(), ["season", "scene_id", "col", "row"], BANDS, LAYOUT)
 
+    def scene_grids(self) -> DataFrame:
+        """Three kinds of grid, by the scene's number: shifted, half as fine, a quarter finer.
+
+        Scales are about the upper-left pixel of the scene, so that most pixels have a source.
+        """
+        scenes = self.catalog().select("scene_id").distinct()
+        n = F.element_at(F.split("scene_id", "_"), 2).cast("int")
+        scale = F.when(n % 3 == 0, 1.0).when(n % 3 == 1, 0.5).otherwise(1.25)
+        shift = F.when(n % 3 == 0, 0.5).when(n % 3 == 1, 0.25).otherwise(0.125)
+        x, y = n % 2 * 50, F.floor(n / 2) * 30
+        return scenes.select(
+            "scene_id", scale.alias("scale_x"), (x * (1 - scale) + shift).alias("offset_x"),
+            scale.alias("scale_y"), (y * (1 - scale) + shift / 2).alias("offset_y"),
+        )
+
+    def terrain_tiles(self) -> DataFrame:
+        """A raster of pixels four times as wide and high as the imagery's."""
+        coarse = self.px().where("season = 'GS'").selectExpr("gx div 4 as gx", "gy div 4 as gy", "b3")
+        pixels = coarse.groupBy("gx", "gy").agg(F.sum("b3").alias("terrain")).withColumns(LAYOUT.cell_of())
+        return assemble_tiles(pixels, ["col", "row"], ["terrain"], LAYOUT)
+
     def mask(self) -> DataFrame:
         return self._grid().selectExpr(
             "gx", "gy",

@@ -178,15 +178,14 @@ def _poisson_cdf(rates: str) -> str:
   from {rates} r cross join range(0, 34) i join range(0, 34) j on j.range <= i.range group by 1, 2'''
 
 
-def _resample(method: str, ox: float, oy: float) -> str:
+def _resample(method: str, fx: str, fy: str, targets: str = "spx") -> str:
     positions = f'''
-  select season, scene_id, gx, gy, gx + {ox} as fx, gy + {oy} as fy from spx'''
+  select season, scene_id, gx, gy, {fx} as fx, {fy} as fy from {targets}'''
     if method == "nearest":
         return f'''
   select t.season, t.scene_id, t.gx, t.gy, {_band_list("n.b{b}::double", "b")}
-  from ({positions}) t left join spx n
-    on n.season = t.season and n.scene_id = t.scene_id
-   and n.gx = cast(floor(t.fx + 0.5) as bigint) and n.gy = cast(floor(t.fy + 0.5) as bigint)'''
+  from (select *, cast(floor(fx + 0.5) as bigint) as sx, cast(floor(fy + 0.5) as bigint) as sy from ({positions})) t
+  left join spx n on n.season = t.season and n.scene_id = t.scene_id and n.gx = t.sx and n.gy = t.sy'''
     value = "round(sum(w * n.b{b}) / sum(w) filter (n.b{b} is not null), 9)"
     return f'''
   select t.season, t.scene_id, t.gx, t.gy, {_band_list(value, "b")}
@@ -335,8 +334,33 @@ QUERIES: dict[str, tuple[str, str]] = {
             left join spx p on p.season = c.season and p.scene_id = c.scene_id
                            and p.gx = c.col*10 + x.range and p.gy = c."row"*10 + y.range''',
     ),
-    "resample_bilinear": ("", _resample("bilinear", 0.25, 0.5)),
-    "resample_nearest": ("", _resample("nearest", 0.25, 0.75)),
+    "resample_bilinear": ("", _resample("bilinear", "gx + 0.25", "gy + 0.5")),
+    "resample_nearest": ("", _resample("nearest", "gx + 0.25", "gy + 0.75")),
+    "resample_scenes": (
+        '''kinds as (
+  select distinct scene_id, string_split(scene_id, '_')[2]::int as n from catalog),
+grids as (
+  select scene_id, case n % 3 when 0 then 1.0 when 1 then 0.5 else 1.25 end::double as scale,
+         case n % 3 when 0 then 0.5 when 1 then 0.25 else 0.125 end::double as shift, n % 2 * 50 as x, n // 2 * 30 as y
+  from kinds),
+placed as (
+  select season, scene_id, gx, gy, gx * scale + (x * (1 - scale) + shift) as px, gy * scale + (y * (1 - scale) + shift / 2) as py
+  from spx join grids using (scene_id))''',
+        _resample("bilinear", "px", "py", "placed"),
+    ),
+    "coarse_layer": (
+        f'''{_FEATURES},
+terrain as (select gx // 4 as x, gy // 4 as y, sum(b3) as v from px where season = 'GS' group by all),
+near as (
+  select *, (1 - abs(fx - (floor(fx) + i.range))) * (1 - abs(fy - (floor(fy) + j.range))) as w,
+         cast(floor(fx) + i.range as bigint) as x, cast(floor(fy) + j.range as bigint) as y
+  from (select gx, gy, gx * 0.25::double - 0.375 as fx, gy * 0.25::double - 0.375 as fy from spx where season = 'GS')
+  cross join range(0, 2) i cross join range(0, 2) j),
+layer as (
+  select gx, gy, round(sum(w * v) / sum(w) filter (v is not null), 9) as terrain
+  from near left join terrain using (x, y) group by gx, gy)''',
+        f'select {_KEYS}, scene_id, {_feature_columns("f", "GS")}, terrain from feature f join layer using (gx, gy) where season = \'GS\'',
+    ),
     "erode_tile": (
         "",
         '''select cell, cast(x.range - 2 as int) as column_index, cast(y.range - 2 as int) as row_index,

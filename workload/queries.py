@@ -13,6 +13,8 @@ from tilecast.functions import columns as fn
 from tilecast.operators import focal, metrics, sampling, selection, sites, tiles
 from tilecast.operators import model as forest
 from tilecast.operators.resample import resample
+from tilecast.operators.resample import resample_scenes as own_grids
+from tilecast.operators.windows import Layer
 from tilecast.plans.iteration import PIXEL_KEYS, Inputs, Iteration, Settings
 from tilecast.runtime import materialize, shared_path
 from tilecast.sources import imagery, publish, tables
@@ -425,6 +427,20 @@ def _feature_pixels(frame: DataFrame, names: list[str]) -> DataFrame:
     return rounded(tiles.explode_tiles(frame, names, TILE), "_avg_", "_std_")
 
 
+@query
+def resample_scenes(fx):
+    frame = own_grids(fx.tiles(), _scenes(fx), LAYOUT, fx.scene_grids())
+    return _pixels(_by_season(frame, "raw", "b"), "b")
+
+
+@query
+def coarse_layer(fx):
+    terrain = Layer(fx.terrain_tiles(), SourceGrid(scale_x=0.25, offset_x=-0.375, scale_y=0.25, offset_y=-0.375))
+    frame = focal.features(fx.tiles(), _targets(fx, "GS"), LAYOUT, ["GS"], layers={"terrain": terrain})
+    pixels = _feature_pixels(frame.withColumnRenamed("GS", "scene_id"), [*fn.feature_names(["GS"]), "terrain"])
+    return rounded(pixels, "terrain")
+
+
 @query
 def feature_frame(fx):
     frame = focal.features(fx.tiles(), _targets(fx, "GS"), LAYOUT, ["GS"])
