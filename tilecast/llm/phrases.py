@@ -36,6 +36,9 @@ CHUNK = 500_000
 #: Distinct runs that a task holds before it passes its counts on.
 HELD = 1_000_000
 
+#: Frequent runs in a bucket of the pass for pointers, about.
+BUCKET = 100_000
+
 #: Bits of a Bloom filter, at least and at most (32 MB).
 LEAST_BITS, MOST_BITS = 20, 28
 
@@ -276,11 +279,37 @@ def count_runs(texts: DataFrame, sizes: range, known: tuple[Filter, int] | None,
     return rows.groupBy("size", "fp").agg(F.sum("n").alias("n"))
 
 
-def point(texts: DataFrame, filters: dict[int, Filter], longest: int, chunk: int = CHUNK, held: int = HELD, bits: int = 64) -> DataFrame:
+_POINTED = ["size", "fp", "check", "pointer", "n"]
+
+
+def _least(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows of ``_POINTED`` summed up by run and second hash, each with its least pointer."""
+    rows = np.concatenate(parts)
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(rows), 1), bool), (rows[1:, :3] != rows[:-1, :3]).any(axis=1))))
+    found = rows[first]
+    found[:, 4] = np.add.reduceat(rows[:, 4], first)
+    return found
+
+
+def _pointed(parts: list[np.ndarray]) -> pa.RecordBatch:
+    """The runs of a bucket: count, least and largest second hash, least pointer."""
+    rows = _least(parts)
+    first = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1))))
+    last = np.append(first[1:], len(rows)) - 1
+    columns = [
+        rows[first, 0].astype(np.int32), rows[first, 1], np.add.reduceat(rows[:, 4], first), rows[first, 2], rows[last, 2],
+        np.minimum.reduceat(rows[:, 3], first),
+    ]
+    return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["size", "fp", "n", "low", "high", "pointer"])
+
+
+def point(texts: DataFrame, filters: dict[int, Filter], longest: int, buckets: int, chunk: int = CHUNK, held: int = HELD, bits: int = 64) -> DataFrame:
     """``size, fp, n, low, high, pointer`` of the runs that the filters know.
 
     ``low`` and ``high`` are the least and largest second hash, equal unless different runs have
-    one fingerprint; ``pointer`` is the least mark of a text that has it.
+    one fingerprint; ``pointer`` is the least mark of a text that has it. Every task may know most
+    frequent runs, so it sends them packed by bucket of fingerprint.
     """
     shared = texts.sparkSession.sparkContext.broadcast({size: (f.words, f.bits) for size, f in filters.items()})
 
@@ -294,10 +323,38 @@ def point(texts: DataFrame, filters: dict[int, Filter], longest: int, chunk: int
                 yield tuple(merged([columns], 3))
 
     schema = "size int, fp bigint, check bigint, pointer bigint, n bigint"
-    rows = texts.mapInArrow(lambda batches: _summed(places(batches), ["size", "fp", "check", "pointer", "n"], 3, held), schema)
-    return rows.groupBy("size", "fp").agg(
-        F.sum("n").alias("n"), F.min("check").alias("low"), F.max("check").alias("high"), F.min("pointer").alias("pointer")
-    )
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What a task found, as one row of bytes for each bucket of fingerprints."""
+        for batch in _summed(places(batches), _POINTED, 3, held):
+            table = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)
+            bucket = (table[:, 1].view(np.uint64) >> np.uint64(32)).astype(np.int64) % buckets
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            some = np.flatnonzero(edges[1:] > edges[:-1])
+            data = [table[order[edges[i] : edges[i + 1]]].tobytes() for i in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(data, pa.binary())], names=["bucket", "rows"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sums of each bucket, which holds some ``BUCKET`` fingerprints."""
+        held: list[np.ndarray] = []
+        now = None
+
+        for batch in batches:
+            for bucket, rows in zip(batch.column("bucket").to_pylist(), batch.column("rows").to_pylist()):
+                if bucket != now and held:
+                    yield _pointed(held)
+                    held = []
+                now = bucket
+                held.append(np.frombuffer(rows, np.int64).reshape(-1, 5))
+                if sum(map(len, held)) > 4 * max(BUCKET, len(held[0])):
+                    held = [_least(held)]
+        if held:
+            yield _pointed(held)
+
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    packed = texts.mapInArrow(pack, "bucket bigint, rows binary")
+    schema = "size int, fp bigint, n bigint, low bigint, high bigint, pointer bigint"
+    return packed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(unpack, schema)
 
 
 def read_runs(texts: DataFrame, filters: dict[int, Filter], longest: int, chunk: int = CHUNK, bits: int = 64) -> DataFrame:
@@ -338,7 +395,7 @@ def frequent(docs: DataFrame, least: int = 100, longest: int = 5, chunk: int = C
     """
     name = language(F.col("lang"))
     texts = docs.select(F.col("text"), name.alias("lang"), F.xxhash64(name, F.col("text")).alias("mark"))
-    filters, known = {}, None
+    filters, known, seen = {}, None, 0
     for sizes in (range(1, 2), range(2, 3), range(3, longest + 1)):
         if sizes.stop > longest + 1 or not len(sizes):
             continue
@@ -347,8 +404,10 @@ def frequent(docs: DataFrame, least: int = 100, longest: int = 5, chunk: int = C
         for size in sizes:
             filters[size] = bloom(counted.where(F.col("size") == size))
         known = (filters[sizes.start], sizes.start)
+        seen += counted.count()
     # What a filter passes by mistake is counted whole here, and goes.
-    runs = materialize(point(texts, filters, longest, chunk, bits=bits).where(F.col("n") >= least), "phrase-pointed")
+    buckets = max(64, -(-seen // BUCKET))
+    runs = materialize(point(texts, filters, longest, buckets, chunk, bits=bits).where(F.col("n") >= least), "phrase-pointed")
     # Each phrase is read where its pointer says.
     plain = runs.where("low = high")
     pointers = broadcast_if_small(materialize(plain.select(F.col("pointer").alias("mark")).distinct(), "phrase-pointers"))
