@@ -96,6 +96,6 @@ def test_publication_shuffles_pixels_once(spark):
         "cast(id div 18 as int) as row_index", "id / 36.0D as p_field",
     )
     plan = probability_tiles(scored, LAYOUT, factor=2, unique=True)._jdf.queryExecution().executedPlan().toString()
-    # Pixels to their cell with map-side collection, then tiles to their coarse cell.
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "partial_collect_list" in plan
+    # Packed parts of tiles go to their coarse cell.
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "collect_list" not in plan

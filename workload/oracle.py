@@ -415,6 +415,25 @@ layer as (
         '''select cast(f as int) as factor, gx//f as gx, gy//f as gy, season, b1, b2, b3, b4
            from px cross join (values (2),(4),(8)) l(f) where gx % f = 0 and gy % f = 0''',
     ),
+    "mosaic_window": (
+        "",
+        '''select name as window_id, col*10-4 as x0, "row"*10-4 as y0, cast(gx-(col*10-4) as int) as column_index,
+                  cast(gy-("row"*10-4) as int) as row_index, b1, b2, b3, b4
+           from pool join (select * from px where season = 'GS' and b1 is not null) p
+           on gx >= col*10-4 and gx < col*10+13 and gy >= "row"*10-4 and gy < "row"*10+13''',
+    ),
+    "pyramid_window": (
+        """wanted as (select name, f, (col*10)//f-3 as x0, ("row"*10)//f-3 as y0
+                      from pool cross join (values (1),(2),(4)) l(f)),
+           levels as (select f, gx//f as x, gy//f as y, b1, b2, b3, b4
+                      from px cross join (values (1),(2),(4)) l(f)
+                      where season = 'GS' and gx % f = 0 and gy % f = 0)""",
+        '''select name as window_id, cast(w.f as int) as factor, x0, y0, cast(x-x0 as int) as column_index,
+                  cast(y-y0 as int) as row_index, b1, b2, b3, b4,
+                  cast(case when b1 is not null and b2 is not null and b3 is not null and b4 is not null
+                       then 255 else 0 end as smallint) as mask
+           from wanted w join levels l on w.f = l.f and x >= x0 and x < x0+13 and y >= y0 and y < y0+13''',
+    ),
     "validity_mask": (
         "",
         '''select gx, gy, season, cast(case when b1 is not null and b2 is not null and b3 is not null

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tilecast import SourceGrid
 from tilecast.functions import columns as fn
-from tilecast.operators import focal, metrics, sampling, selection, sites, tiles
+from tilecast.operators import focal, metrics, packed, sampling, selection, sites, tiles
 from tilecast.operators import model as forest
 from tilecast.operators.resample import resample
 from tilecast.operators.resample import resample_scenes as own_grids
@@ -18,6 +18,7 @@ from tilecast.operators.windows import Layer
 from tilecast.plans.iteration import PIXEL_KEYS, Inputs, Iteration, Settings
 from tilecast.runtime import materialize, shared_path
 from tilecast.sources import imagery, publish, tables
+from tilecast.sources import packed as stores
 from workload.fixtures import BANDS, LAYOUT, PIXEL, TILE, Fixtures
 
 RUN, AOI, NEXT = 0, "aoi0", 5
@@ -418,6 +419,43 @@ def overview_pyramid(fx):
     return tiles.overviews(fx.px(), [2, 4, 8])
 
 
+def _windows(fx: Fixtures, margin: int, side: int, factors: list[int]) -> DataFrame:
+    """A window around every site, at several levels; it starts ``margin`` pixels before the site."""
+    factor = F.explode(F.array(*[F.lit(f) for f in factors]))
+    corners = {"x0": F.col("col"), "y0": F.col("row")}
+    placed = fx.pool().select(F.col("name").alias("window_id"), *CELL, factor.alias("factor")).withColumns({
+        c: F.floor(key * TILE / F.col("factor")).cast("bigint") - margin for c, key in corners.items()
+    })
+    return placed.select(
+        "window_id", "factor", "x0", "y0", (F.col("x0") + side).alias("x1"), (F.col("y0") + side).alias("y1")
+    )
+
+
+@query
+def mosaic_window(fx):
+    """Windows over the borders of packed sub-tiles, stored by coarse cell."""
+    pixels = fx.px().where("season = 'GS'").withColumns(LAYOUT.cell_of())
+    kinds = packed.kinds_of(pixels, BANDS)
+    path = shared_path(fx.spark, "mosaic")
+    stores.write_packed(packed.pack_tiles(pixels, CELL, kinds, TILE, TILE, unique=True), path, block=5)
+    stored = fx.spark.read.parquet(path)
+    windows = _windows(fx, 4, 17, [1]).drop("factor")
+    found = packed.read_windows(stored, windows, [], kinds, TILE, TILE, block=5)
+    found = packed.unpack(found, ["window_id", "x0", "y0", "window_width"], kinds, "window_width")
+    return found.where("b1 is not null").drop("window_width")
+
+
+@query
+def pyramid_window(fx):
+    """Windows of the image and two overviews, with the mask, from one stored pyramid."""
+    chunk, path = 16, shared_path(fx.spark, "pyramid")
+    squares, kinds = stores.pack_pyramid(fx.px().where("season = 'GS'"), BANDS, [2, 4], chunk)
+    stores.write_pyramid(squares, path)
+    found = stores.pyramid_windows(fx.spark, path, _windows(fx, 3, 13, [1, 2, 4]), kinds, chunk)
+    pixels = packed.unpack(found, ["window_id", "factor", "x0", "y0", "window_width"], kinds, "window_width")
+    return pixels.where("mask is not null").drop("window_width")
+
+
 @query
 def validity_mask(fx):
     return fx.px().select("gx", "gy", "season", fn.validity_mask(BANDS).alias("valid"))
