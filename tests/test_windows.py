@@ -365,3 +365,30 @@ def test_bound_on_source_tiles_holds(spark, scale):
     x, _ = _axes(LAYOUT, SourceGrid(scale_x=scale, offset_x=0.3), 2)
     most = spark.range(-50, 50).select(F.size(x.sources("id")).alias("n")).agg(F.max("n")).first()[0]
     assert most <= x.most_sources() <= most + 2
+
+
+@pytest.mark.parametrize("rate", [0.3, 20.0])
+@pytest.mark.parametrize("max_broadcast", [0, 10**6])
+def test_pixels_drawn_inside_the_group_are_those_of_the_sample(spark, tiles, targets, rate, max_broadcast):
+    from tilecast.operators.sampling import poisson_sample
+    from tilecast.operators.tiles import PIXEL
+
+    sites = targets.select("col", "row").distinct()
+    reading = {"bands": BANDS, "max_broadcast": max_broadcast}
+    keys = ["col", "row", *PIXEL]
+    every = focal.gather(tiles, targets, sites, LAYOUT, **reading)
+    want = poisson_sample(every, rate, 3, keys)
+    got = focal.gather(tiles, targets, sites, LAYOUT, sample=(rate, 3), **reading)
+    assert sorted(got.columns) == sorted(want.columns) and got.schema["drawn"].dataType == want.schema["drawn"].dataType
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_sampled_groups_return_only_what_is_drawn(tiles, targets):
+    frame = focal.features(tiles, targets, LAYOUT, bands=BANDS, sample=(0.1, 1))
+    sizes = frame.selectExpr("size(GS_raw_1) as n", "size(_place) as p", "size(drawn) as d").collect()
+    assert all(r.n == r.p == r.d for r in sizes)
+    assert 0.04 < sum(r.n for r in sizes) / (len(sizes) * T * T) < 0.16
+    with pytest.raises(ValueError):
+        focal.features(tiles, targets, LAYOUT, bands=BANDS, sample=(9.0, 1))
+    with pytest.raises(ValueError):
+        focal.gather(tiles, targets, targets, LAYOUT, masks=tiles, sample=(0.1, 1))

@@ -39,7 +39,7 @@ def uniform(seed: int | str | Column, *keys: str | Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(2.0**32)
 
 
-def _poisson_steps(rate: float) -> list[float]:
+def poisson_steps(rate: float) -> list[float]:
     """Values of u at which the inverse Poisson distribution steps up by one."""
     steps, term, total, k = [], math.exp(-rate), 0.0, 0
     while True:
@@ -64,7 +64,7 @@ def poisson_count(u: str, rate: float) -> Column:
 
 def steps_passed(u: Column, rate: float) -> Column:
     """Inverse Poisson distribution at a single number ``u``."""
-    return reduce(lambda a, b: a + b, [(u >= F.lit(s)).cast("int") for s in _poisson_steps(rate)])
+    return reduce(lambda a, b: a + b, [(u >= F.lit(s)).cast("int") for s in poisson_steps(rate)])
 
 
 def draws_for(rate: float) -> int:

@@ -4,6 +4,8 @@ Arrays are ``[bands, height, width]`` floats with NaN for nodata. Sums run over
 slices, so integer imagery gives exact sums.
 """
 
+import hashlib
+
 import numpy as np
 
 
@@ -66,3 +68,23 @@ def resample(a, rows, cols):
     weight = rows @ valid.astype(float) @ cols.T
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(weight > 0, total / weight, np.nan)
+
+
+def drawn_pixels(
+    prefix: str, width: int, height: int, steps: list[float]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places and counts of the pixels of a tile that a Poisson sample draws.
+
+    The number of a pixel is ``uniform`` of the seed and cell in ``prefix``, its column and its row.
+    """
+    start = hashlib.md5(f"{prefix}_".encode())
+
+    def first_bytes(text: str) -> bytes:
+        whole = start.copy()
+        whole.update(text.encode())
+        return whole.digest()[:4]
+
+    hashes = b"".join(first_bytes(f"{x}_{y}") for y in range(height) for x in range(width))
+    counts = np.searchsorted(steps, np.frombuffer(hashes, ">u4") / 2.0**32, side="right").astype(np.int32)
+    place = np.flatnonzero(counts).astype(np.int32)
+    return place, counts[place]

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilecast.functions import kernels
-from tilecast.functions.columns import BANDS, SEASONS, band_columns, feature_names
+from tilecast.functions.columns import BANDS, SEASONS, band_columns, draws_for, feature_names
 from tilecast.layout import Layout, SourceGrid
-from tilecast.operators.tiles import explode_tiles
+from tilecast.operators.sampling import poisson_sample
+from tilecast.operators.tiles import PIXEL, explode_tiles
 from tilecast.operators.windows import window_map
 
 # Halo read around each cell, and the window sizes of the two statistics.
@@ -121,6 +122,7 @@ def gather(
     seasons: Sequence[str] = SEASONS,
     bands: Sequence[int] = BANDS,
     dedupe: bool = False,
+    sample: tuple[float, int] | None = None,
     **reading,
 ) -> DataFrame:
     """Feature pixels of the listed sites, with label, usage and ``copies`` if ``masks`` are given.
@@ -128,12 +130,29 @@ def gather(
     Features are computed once per cell and pair of scenes. ``copies`` says how many rows the
     site list has for the cell and usage (or the sum of its own ``copies``) (1 with ``dedupe``); samples and counts of labelled
     pixels multiply by it, so a site listed very often costs no more pixels than any other.
+
+    ``sample``, a rate and a seed, returns the pixels that ``poisson_sample`` with the four pixel
+    keys would keep, with their count ``drawn``. They are drawn inside the group, so that
+    others never leave it; only for sites without ``masks``.
     """
+    if sample and masks is not None:
+        raise ValueError("labelled pixels are balanced, not sampled")
     names = feature_names(seasons, bands)
     if masks is None:
         wanted = pairs.join(sites.select("col", "row").distinct(), ["col", "row"], "left_semi")
-        frame = features(tiles, wanted, layout, seasons, bands, **reading)
-        return explode_tiles(frame, names, layout.tile_cols, ["col", "row"])
+        keys = ["col", "row"]
+        if sample and draws_for(sample[0]) > 1:
+            pixels = gather(tiles, pairs, sites, layout, None, seasons, bands, **reading)
+            return poisson_sample(pixels, *sample, [*keys, *PIXEL])
+        frame = features(tiles, wanted, layout, seasons, bands, sample=sample, **reading)
+        if not sample:
+            return explode_tiles(frame, names, layout.tile_cols, keys)
+        place, width = F.col("_px._place"), F.lit(layout.tile_cols)
+        return frame.select(*keys, F.explode(F.arrays_zip("_place", "drawn", *names)).alias("_px")).select(
+            *keys, F.pmod(place, width).cast("int").alias("column_index"),
+            F.floor(place / width).cast("int").alias("row_index"),
+            *[F.col(f"_px.{v}") for v in (*names, "drawn")],
+        )
     rows = F.sum("copies") if "copies" in sites.columns else F.count("*")
     copies = F.max(F.lit(1).cast("bigint")) if dedupe else rows
     listed = sites.groupBy("col", "row", "usage").agg(copies.alias("copies"))

@@ -72,6 +72,11 @@ def area_under_roc(df: DataFrame, label: str, score: str, copies: str | None = N
     ).select(F.try_divide("below", F.col("p") * F.col("n")).alias("auc"))
 
 
+def format_time(moment: Column) -> Column:
+    """A moment as the metrics file has it: in UTC, to the microsecond."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), TIME_FORMAT)
+
+
 def metrics_report(
     df: DataFrame,
     label: str,
@@ -81,8 +86,9 @@ def metrics_report(
     iteration: int,
     aoi: str,
     copies: str | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
-    """One row in the layout of the metrics file."""
+    """One row in the layout of the metrics file; ``now`` is the moment it is made, if not this one."""
     counted = binary_metrics(df, label, prediction, copies=copies)
     run_type = "int" if isinstance(run, int) else "string"
     columns = {
@@ -90,8 +96,6 @@ def metrics_report(
         "iteration": F.lit(iteration).cast("int"),
         "AUC": area_under_roc(df, label, score, copies=copies).scalar(),
         "aoi": F.lit(aoi),
-        "iteration_time": F.date_format(
-            F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), TIME_FORMAT
-        ),
+        "iteration_time": format_time(F.current_timestamp() if now is None else now),
     }
     return counted.select(*[columns[c].alias(c) if c in columns else c for c in METRICS.names])

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilecast.functions import kernels
+from tilecast.functions.columns import draws_for, poisson_steps
 from tilecast.layout import Layout, SourceGrid
 from tilecast.operators.tiles import crop
 from tilecast.runtime import MAX_BROADCAST_ROWS, broadcast_if_small, materialize
@@ -294,6 +295,7 @@ def window_map(
     layers: Mapping[str, DataFrame | Layer] = MappingProxyType({}),
     grids: DataFrame | None = None,
     carry: Sequence[str] = (),
+    sample: tuple[float, int] | None = None,
     max_broadcast: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Apply ``compute`` to the buffered window of every target cell.
@@ -312,11 +314,19 @@ def window_map(
         grids: ``scene_id`` and the columns ``GRID``, a row per scene whose pixels are not the
             layout's; in place of ``grid``. See :func:`scene_grids`. Every target has a row then.
         carry: columns of ``targets`` to keep in the result.
+        sample: rate (at most ``MAX_RATE_PER_DRAW``) and seed of a Poisson sample of each target's
+            pixels, drawn before the group returns; the draws are those of ``poisson_sample``.
 
     Returns:
         The target keys, the carried columns, and one dense array column per output and
-        layer, NULL for nodata. The array of a layer without a tile is NULL.
+        layer, NULL for nodata. The array of a layer without a tile is NULL. With ``sample`` the
+        arrays hold drawn pixels only; ``_place`` and ``drawn`` say where each lies and how often
+        it was drawn, and a target without a draw has empty arrays.
     """
+    if sample and draws_for(sample[0]) > 1:
+        raise ValueError(f"a rate of {sample[0]} takes several draws a pixel")
+    steps = poisson_steps(sample[0]) if sample else []
+    draws = ["_place", "drawn"] if sample else []
     x, y = _axes(layout, grid if grids is None else None, buffer)
     identity = ["col", "row", *seasons, *carry]
     asked = targets.select(*identity).distinct()
@@ -355,10 +365,11 @@ def window_map(
             pieces = pieces.unionByName(found, allowMissingColumns=True)
     of_scenes = grids is not None
     aligned, count, extra = not of_scenes and grid.aligned, len(bands), list(layers)
-    names = [*identity, *outputs, *extra]
+    names = [*identity, *outputs, *extra, *draws]
     schema = T.StructType(
         [wanted.schema[k] for k in identity]
         + [T.StructField(o, T.ArrayType(T.DoubleType())) for o in (*outputs, *extra)]
+        + [T.StructField(d, T.ArrayType(T.IntegerType())) for d in draws]
     )
 
     def split(lists):
@@ -409,15 +420,24 @@ def window_map(
         for name in seen:
             results[name] = on_target(sheets[name], *resampled[name])[0]
 
+        def listed(values):
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
         def column(a):
             if a is None:
                 return pa.nulls(1, pa.list_(pa.float64()))
-            values = pa.array(np.ascontiguousarray(a, dtype=float).ravel(), from_pandas=True)
-            return pa.ListArray.from_arrays(pa.array([0, a.size], pa.int32()), values)
+            a = np.ascontiguousarray(a, dtype=float).ravel()
+            return listed(pa.array(a if sample is None else a[spots], from_pandas=True))
 
+        if sample:
+            spots, drawn = kernels.drawn_pixels(
+                f"{sample[1]}_{col}_{row}", layout.tile_cols, layout.tile_rows, steps
+            )
         own = [pa.array([k.as_py()], k.type) for k in key[: len(identity)]]
         yield pa.RecordBatch.from_arrays(
-            own + [column(results[o]) for o in (*outputs, *extra)], names=names
+            own + [column(results[o]) for o in (*outputs, *extra)]
+            + ([listed(pa.array(spots)), listed(pa.array(drawn))] if sample else []),
+            names=names,
         )
 
     return pieces.groupBy(*keys).applyInArrow(build, schema)

@@ -13,7 +13,7 @@ from tilecast.layout import MASTER, Layout, SourceGrid
 from tilecast.operators import model as forest
 from tilecast.operators.focal import gather
 from tilecast.operators.metrics import metrics_report
-from tilecast.operators.sampling import balance_weights, bernoulli_sample, poisson_sample
+from tilecast.operators.sampling import balance_weights, bernoulli_sample
 from tilecast.operators.selection import WORST_SHARE, cell_certainty, select_names
 from tilecast.operators.sites import (
     all_sites,
@@ -77,11 +77,14 @@ class Iteration:
         self._labelled_pixels: DataFrame | None = None
         self.next_iteration = (last_iteration(self.labelled).first()[0] or 0) + 1
 
-    def _gather(self, sites: DataFrame, masks: DataFrame | None = None, pairs: DataFrame | None = None):
+    def _gather(
+        self, sites: DataFrame, masks: DataFrame | None = None, pairs: DataFrame | None = None,
+        sample: tuple[float, int] | None = None,
+    ) -> DataFrame:
         s = self.settings
         return gather(
             self.inputs.tiles, self.pairs if pairs is None else pairs, sites, s.layout, masks,
-            SEASONS, s.bands, s.dedupe, grid=s.grid, method=s.resampling,
+            SEASONS, s.bands, s.dedupe, sample, grid=s.grid, method=s.resampling,
         )
 
     def labelled_pixels(self) -> DataFrame:
@@ -122,7 +125,7 @@ class Iteration:
     def certainty(self, model: PipelineModel) -> DataFrame:
         """Certainty of each unlabelled cell, from a random part of its pixels."""
         s = self.settings
-        sample = poisson_sample(self._gather(self.test_sites()), s.test_rate, s.seed, PIXEL_KEYS)
+        sample = self._gather(self.test_sites(), sample=(s.test_rate, s.seed))
         scored = forest.classify(model, sample, [*PIXEL_KEYS, "drawn"])
         return cell_certainty(scored, "p_no_field", "drawn")
 

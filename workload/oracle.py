@@ -231,6 +231,19 @@ QUERIES: dict[str, tuple[str, str]] = {
         f'''select 0 as run, 5 as iteration, {_RATES}, (select round(auc, 9) from roc) as "AUC", 'aoi0' as aoi
             from ({_rate_columns("counts")})''',
     ),
+    "report_times": ("", "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as iteration_time from events"),
+    "parallel_reports": (
+        ", ".join(
+            f"counts{i} as (select * from ({_CONFUSION.replace('eval_pairs', f'(select * from eval_pairs where score % 2 = {i})')}))"
+            for i in (0, 1)
+        ),
+        " union all ".join(
+            f"""select {_RATES}, 0 as run, {iteration} as iteration, '{writer}' as writer, {clash} as writers
+                from ({_rate_columns(f"counts{i}")})"""
+            for writer, iteration, i, clash in (
+                ("north", 5, 0, "'north,south'"), ("south", 5, 1, "'north,south'"), ("north", 6, 1, "null"))
+        ),
+    ),
     "outgoing_names": (
         f'''chosen as (select * from worst order by {_hash("7", "cast(col as varchar)", 'cast("row" as varchar)')},
                        col + 13800*"row" limit 10)''',
@@ -452,6 +465,17 @@ layer as (
         f"{_FEATURES}, {_JOINED}",
         f'select {_KEYS}, * exclude (gx, gy, col, "row") from joined semi join test_sites using (col, "row")',
     ),
+    "sampled_pixels": (
+        f'''{_FEATURES}, {_JOINED}, cdf as ({_poisson_cdf("(select 0 as c, 0.1::double as rate)")}),
+            pixels as (select {_KEYS}, * exclude (gx, gy, col, "row")
+                       from joined semi join test_sites using (col, "row")),
+            places as (select distinct col, "row", column_index, row_index from pixels),
+            hashed as (select *, {_hash("7", *[f'cast("{c}" as varchar)' for c in ("col", "row", "column_index", "row_index")])} as u
+                       from places),
+            chosen as (select col, "row", column_index, row_index, cast(count(*) as int) as drawn
+                       from hashed join cdf on u >= cdf and i < 20 group by all)''',
+        'select * from pixels join chosen using (col, "row", column_index, row_index)',
+    ),
     "classify": (
         f"{_FEATURES}, {_JOINED}",
         f'''select {_KEYS}, true as sums_to_one, true as agrees

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from tilecast.operators.resample import resample_scenes as own_grids
 from tilecast.operators.windows import Layer
 from tilecast.plans.iteration import PIXEL_KEYS, Inputs, Iteration, Settings
 from tilecast.runtime import materialize, shared_path
-from tilecast.sources import imagery, publish, tables
+from tilecast.sources import imagery, publish, reports, tables
 from tilecast.sources import packed as stores
 from workload.fixtures import BANDS, LAYOUT, PIXEL, TILE, Fixtures
 
@@ -181,6 +182,29 @@ def metrics_report(fx):
     return rounded(report.drop("iteration_time"), *RATES)
 
 
+@query
+def report_times(fx):
+    """Times of events, as reports have them."""
+    return fx.table("events").select("event_id", metrics.format_time(F.col("ts")).alias("iteration_time"))
+
+
+@query
+def parallel_reports(fx):
+    """Two runs report on the same iteration, another one on the next: nothing is lost, the clash is named."""
+    folder = shared_path(fx.spark, "reports")
+    written = [("north", NEXT, 0), ("south", NEXT, 1), ("north", NEXT + 1, 1)]
+    for writer, iteration, parity in written:
+        rows = fx.eval_pairs().where(F.col("score") % 2 == parity)
+        report = metrics.binary_metrics(rows, "label", "prediction").select(
+            *[F.col(c) for c in RATES if c.lower() != "auc"]
+        )
+        with suppress(reports.ReportConflict):
+            reports.write_report(report, folder, RUN, iteration, writer)
+    kept = reports.read_reports(fx.spark, folder, report.schema)
+    clashes = reports.conflicts(kept).select("run", "iteration", F.concat_ws(",", "writers").alias("writers"))
+    return rounded(kept.join(clashes, ["run", "iteration"], "left"), *RATES)
+
+
 @query
 def outgoing_names(fx):
     return selection.select_names(_certainty(fx), fx.pool(), LAYOUT, 10, RUN, NEXT, seed=7)
@@ -504,6 +528,13 @@ def test_pixels(fx):
     return rounded(focal.gather(fx.tiles(), _pairs(fx), _test_sites(fx), LAYOUT), "_avg_", "_std_")
 
 
+@query
+def sampled_pixels(fx):
+    """A tenth of the test pixels, drawn before the features leave their group."""
+    drawn = focal.gather(fx.tiles(), _pairs(fx), _test_sites(fx), LAYOUT, sample=(0.1, 7))
+    return rounded(drawn, "_avg_", "_std_")
+
+
 # -- sampling --------------------------------------------------------------------------
 
 
