@@ -56,6 +56,28 @@ def test_top_k_of_large_numbers_is_exact(big):
         assert sorted(zip(-got[2][got[0] == i], got[1][got[0] == i])) == want
 
 
+def test_most_queries_stop_before_their_lists_end():
+    rng = np.random.default_rng(5)
+    x = np.floor(rng.normal(size=(2000, 32)) * 40).astype(np.int64)
+    x[7], q = 0, x[:40]
+    q[3] = 0  # a query that weighs nothing reads nothing
+    ids = np.arange(2000)
+    scores = q @ x.T
+    scores[np.arange(40), np.arange(40)] = -(10**12)
+    want = [[(-int(s), int(c)) for s, c in sorted(zip(-row, ids))[:5]] for row in scores]
+    floors = [sorted(row[:500])[-5] for row in scores]
+    for given in (None, floors, [w[-1][0] for w in want]):
+        depths = []
+        got = topk.block_top(x, ids, q, ids[:40], 5, floors=given, depths=depths)
+        assert [[(int(s), int(c)) for s, c in zip(got[2][got[0] == i], got[1][got[0] == i])] for i in range(40)] == want
+        read = np.array(depths)
+        assert (read < 2000).any(axis=1).mean() > 0.5 and read.mean() < 2000 and not read[3].any()
+    # A bound above all that a block can give leaves its lists unread.
+    depths = []
+    assert not len(topk.block_top(x, ids, q[:3], ids[:3], 5, floors=[10**7] * 3, depths=depths)[0])
+    assert not np.array(depths).any()
+
+
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()

@@ -1,14 +1,15 @@
 """Exact top-k inner products by sequential reading of sorted lists, without random access.
 
-Candidates lie in blocks. Inside a block there is one list per dimension, sorted by value, which
-a query reads from the top where its own component is positive and from the bottom where it is
-negative. All lists are read to the same depth. What has been read of a candidate, together
-with the list's last read value for the rest, bounds its score from above; with the list's
-worst value for the rest, from below. Reading stops when no candidate outside a small set can
-reach the k-th best lower bound; the scores of that set are then resolved.
-
-For a whole block of queries one step of bounds is four matrix products: a value that has been
-read is at least the value at the depth, so "read, else the last read value" is a clipped matrix.
+Candidates lie in blocks. Inside a block there is one list per dimension, sorted by value once and
+stored, which a query reads from the top where its own component is positive and from the bottom
+where it is negative, the deeper the more the component weighs. What has been read of a candidate,
+together with the list's last read value for the rest, bounds its score from above; with the
+list's worst value for the rest, from below. A candidate whose upper bound is below the k-th best
+lower bound is never looked at again. Reading stops when few candidates are left; their scores are
+then resolved.
+
+Every query brings a k-th best score that it has found elsewhere (:func:`seeds`), so most of a
+block is out before its lists have been read to the end, or before any has been read.
 """
 
 from __future__ import annotations
@@ -17,12 +18,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of a block. Both bound the memory of a task: a block pair has BLOCK x QUERIES scores.
+from tilecast.runtime import materialize
+
+#: Vectors of a block, of candidates and of queries. Both bound the memory of a task.
 BLOCK, QUERIES = 4096, 512
 
+#: Candidates that a query meets first, for a bound that it takes to every block.
+SEED = 512
+
+#: How far lists are read, step by step: a list that weighs ``w`` (1 on average, by the square of the
+#: query's component) to the share ``s * w / (1 + s * w)``; in the end all are read whole.
+STEPS = (2.0, 4.0, 8.0, 16.0, 64.0, np.inf)
+
+#: Below any score: nothing is known yet.
+NONE = -(2**63)
+
 #: Sums of products below this are exact in doubles.
 EXACT = 2**53
 
@@ -41,17 +55,21 @@ def quantised(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
 
 
 def _blocks(df: DataFrame, size: int, parts: int, name: str) -> DataFrame:
-    """One row per block of vectors, rows dealt evenly: ``{name}`` with ids, lengths and values."""
+    """One row per block of vectors, rows dealt evenly: part, place in it, ids, lengths and values.
+
+    Parts are numbered from 0; ``at`` counts the blocks of a part.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors = [], []
+        ids, vectors, at, part = [], [], 0, TaskContext.get().partitionId()
 
         def out():
             lengths = np.array([len(v) for v in vectors], dtype=np.int32)
             values = np.concatenate([*vectors, np.empty(0, np.int64)]).astype(np.int64)
+            binary = (np.array(ids, dtype=np.int64), lengths, values)
             return pa.RecordBatch.from_arrays(
-                [pa.array([np.array(ids, dtype=np.int64).tobytes()]), pa.array([lengths.tobytes()]), pa.array([values.tobytes()])],
-                names=[f"{name}_ids", f"{name}_lengths", f"{name}_values"],
+                [pa.array([part], pa.int32()), pa.array([at], pa.int32()), *(pa.array([x.tobytes()]) for x in binary)],
+                names=[f"{name}_{c}" for c in ("part", "at", "ids", "lengths", "values")],
             )
 
         for batch in batches:
@@ -60,15 +78,30 @@ def _blocks(df: DataFrame, size: int, parts: int, name: str) -> DataFrame:
                 vectors.append(v.values.to_numpy(zero_copy_only=False))
                 if len(ids) == size:
                     yield out()
-                    ids, vectors = [], []
+                    ids, vectors, at = [], [], at + 1
         if ids:
             yield out()
 
     return df.repartition(parts, F.xxhash64("vec_id")).mapInArrow(
-        pack, f"{name}_ids binary, {name}_lengths binary, {name}_values binary"
+        pack, f"{name}_part int, {name}_at int, {name}_ids binary, {name}_lengths binary, {name}_values binary"
     )
 
 
+def _with_lists(blocks: DataFrame) -> DataFrame:
+    """Candidate blocks with ``c_lists``: the values of every dimension in rising order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, row in enumerate(batch.to_pylist()):
+                width = int(np.frombuffer(row["c_lengths"], np.int32).max(initial=0))
+                lists = np.sort(_matrix(row["c_lengths"], row["c_values"], width), axis=0)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(i, 1).columns, pa.array([lists.tobytes()])], names=[*batch.schema.names, "c_lists"]
+                )
+
+    return blocks.mapInArrow(run, "c_part int, c_at int, c_ids binary, c_lengths binary, c_values binary, c_lists binary")
+
+
 def _matrix(lengths: bytes, values: bytes, width: int) -> np.ndarray:
     """Vectors as rows, short ones padded with zeros, as the inner product takes them."""
     n = np.frombuffer(lengths, np.int32)
@@ -77,84 +110,130 @@ def _matrix(lengths: bytes, values: bytes, width: int) -> np.ndarray:
     return out
 
 
-def block_top(x: np.ndarray, x_ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int):
-    """Per query the ``k`` best candidates of a block: arrays of query id, id and score.
+def read_lists(x: np.ndarray, lists: np.ndarray, q: np.ndarray, alive: np.ndarray, k: int, floor):
+    """Candidates that can still be among the ``k`` best of a query, and how deep each list was read.
 
-    Candidates with the query's own id take no part. All are int64; ties go to smaller ids.
+    ``x`` has a candidate a row and ``lists`` its columns sorted; ``alive`` are the rows that take
+    part. ``floor`` is a score that ``k`` candidates are known to reach, here or elsewhere.
     """
     n, width = x.shape
-    exact = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(width, 1) < EXACT
+    few, column, positive = max(4 * k, n // 16), np.arange(width), q > 0
+    weight = q.astype(np.float64) ** 2
+    weight /= max(weight.mean() if width else 0.0, 1e-300)
+    best = np.where(positive, lists[-1], lists[0])
+    depth = np.zeros(width, np.int64)
+    if best @ q < floor:  # no list need be read
+        return alive[:0], depth
+    least = np.where(positive, lists[0], lists[-1])
+    rows = x[alive]
+    for step in STEPS:
+        share = step * weight / (1 + step * weight) if np.isfinite(step) else np.ones(width)
+        depth = np.where(q == 0, 0, np.ceil(n * share)).astype(np.int64)
+        last = np.maximum(depth, 1)
+        value = np.where(positive, lists[n - last, column], lists[last - 1, column])
+        # Values beyond the last one read are in the part that has been read.
+        low, high = np.where(positive, value, lists[0]), np.where(positive, lists[-1], value)
+        upper = np.clip(rows, low, high) @ q
+        keep = upper >= floor
+        alive, rows, upper = alive[keep], rows[keep], upper[keep]
+        lower = np.where((rows >= low) & (rows <= high), rows, least) @ q
+        if len(lower) >= k:
+            floor = max(floor, np.partition(lower, len(lower) - k)[len(lower) - k])
+            keep = upper >= floor
+            alive, rows = alive[keep], rows[keep]
+        if len(alive) <= few:
+            break
+    return alive, depth
+
+
+def block_top(x: np.ndarray, x_ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int, lists=None, floors=None, depths=None):
+    """Per query the ``k`` best candidates of a block: arrays of query id, id and score.
+
+    Candidates with the query's own id take no part, nor need those below the query's ``floors``. All
+    are int64; ties go to smaller ids. ``depths``, a list, gets how far each query read each list.
+    """
+    lists = np.sort(x, axis=0) if lists is None else lists
+    exact = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(x.shape[1], 1) < EXACT
     kind = np.float64 if exact else object  # Python integers where doubles could round
-    xs = np.sort(x, axis=0)
-    xf, up, down = x.astype(kind), np.maximum(q, 0).astype(kind), np.minimum(q, 0).astype(kind)
-    own = x_ids == q_ids[:, None]
-    open_ = np.arange(len(q))  # queries still reading
-    found: list[tuple] = []
-    depth = min(n, max(2 * k, n // 4))
-    while len(open_):
-        if depth < n and width:
-            top, bottom = xs[n - depth].astype(kind), xs[depth - 1].astype(kind)
-            least, most = xs[0].astype(kind), xs[-1].astype(kind)
-            upper = up[open_] @ np.maximum(xf, top).T + down[open_] @ np.minimum(xf, bottom).T
-            lower = up[open_] @ np.where(xf >= top, xf, least).T + down[open_] @ np.where(xf <= bottom, xf, most).T
-            worst = lower.min(initial=0) - 1
-            lower = np.where(own[open_], worst, lower)
-            floor_ = np.partition(lower, max(n - k, 0), axis=1)[:, max(n - k, 0)]
-            alive = (upper >= floor_[:, None]) & ~own[open_]
-            stop = alive.sum(axis=1) <= max(4 * k, n // 16)
-        else:
-            alive, stop = ~own[open_], np.ones(len(open_), bool)
-        whole = stop.all() and depth >= n
-        if whole:  # every list has been read to its end: the bounds are the scores
-            scores = q[open_].astype(kind) @ xf.T
-        for row in np.flatnonzero(stop):
-            query, members = open_[row], np.flatnonzero(alive[row])
-            score = scores[row, members] if whole else xf[members] @ q[query].astype(kind)
-            best = np.lexsort((x_ids[members], -score))[:k]
-            found.append((np.full(len(best), q_ids[query]), x_ids[members[best]], score[best].astype(np.int64)))
-        open_ = open_[~stop]
-        depth = min(n, 2 * depth)
-    if not found:
-        return (np.empty(0, np.int64),) * 3
+    x, lists, q = x.astype(kind), lists.astype(kind), q.astype(kind)
+    found = [(np.empty(0, np.int64),) * 3]
+    for i, query in enumerate(q):
+        floor = NONE if floors is None else int(floors[i])
+        members, depth = read_lists(x, lists, query, np.flatnonzero(x_ids != q_ids[i]), k, floor)
+        score = x[members] @ query
+        best = np.lexsort((x_ids[members], -score))[:k]
+        best = best[score[best] >= floor]
+        found.append((np.full(len(best), q_ids[i]), x_ids[members[best]], score[best].astype(np.int64)))
+        if depths is not None:
+            depths.append(depth)
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
+def seeds(queries: DataFrame, lists: DataFrame, parts: int, k: int) -> DataFrame:
+    """Query blocks with ``q_floors``: what ``k`` of the first candidates of one block reach.
+
+    Each query block goes to one candidate block. A query that finds fewer than ``k`` there, or no
+    block, has no bound.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, row in enumerate(batch.to_pylist()):
+                ids = np.frombuffer(row["q_ids"], np.int64)
+                floors = np.full(len(ids), NONE)
+                if row["c_ids"] is not None:
+                    width = max(int(np.frombuffer(row[c], np.int32).max(initial=0)) for c in ("c_lengths", "q_lengths"))
+                    x = _matrix(row["c_lengths"], row["c_values"], width)[:SEED]
+                    q = _matrix(row["q_lengths"], row["q_values"], width)
+                    for j in range(len(ids)):
+                        score = block_top(x, np.frombuffer(row["c_ids"], np.int64)[:SEED], q[j : j + 1], ids[j : j + 1], k)[2]
+                        if len(score) == k:
+                            floors[j] = score[-1]
+                own = batch.slice(i, 1).select(["q_ids", "q_lengths", "q_values"])
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.array([floors.tobytes()])], names=["q_ids", "q_lengths", "q_values", "q_floors"]
+                )
+
+    home = lists.where("c_at = 0").select("c_part", "c_ids", "c_lengths", "c_values")
+    met = queries.withColumn("c_part", F.pmod(F.xxhash64("q_ids"), F.lit(parts)).cast("int")).join(home, "c_part", "left")
+    return met.mapInArrow(run, "q_ids binary, q_lengths binary, q_values binary, q_floors binary")
+
+
 def top_k(
     queries: DataFrame, candidates: DataFrame, k: int = 5, block: int = BLOCK, query_block: int = QUERIES
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` best of all candidates but itself.
 
-    Both inputs have ``vec_id, v`` (see :func:`quantised`). Every query block meets every
-    candidate block once; only their k best per query go on. Vectors of unequal length are
-    padded with zeros. Rows that repeat an id are candidates each; a repeated query row asks
-    once, and an id with several vectors asks for the best of all of them. Empty inputs give no
-    rows. A score must fit in 64 bits.
+    Both inputs have ``vec_id, v`` (see :func:`quantised`). Candidate blocks are sorted into lists and
+    written once; query blocks, which are smaller, are sent to them. Every query block meets every
+    candidate block once, with the bounds of its seeds; only their k best per query go on. Vectors of
+    unequal length are padded with zeros. Rows that repeat an id are candidates each; a repeated query
+    row asks once, and an id with several vectors asks for the best of all of them. Empty inputs give
+    no rows. A score must fit in 64 bits.
     """
-    spark = queries.sparkSession
     queries = queries.dropDuplicates(["vec_id", "v"])
     n, m = candidates.count(), queries.count()
-    left = _blocks(candidates, block, max(1, -(-n // block)), "c")
-    right = _blocks(queries, query_block, max(1, -(-m // query_block)), "q")
-    # Query blocks get numbers, so that a pair of blocks is an equality join.
-    parts = max(1, -(-m // query_block))
-    numbered = right.withColumn("q_part", F.pmod(F.xxhash64("q_ids"), F.lit(parts)).cast("int"))
-    pairs = left.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(numbered, "q_part")
+    parts = max(1, -(-n // block))
+    lists = materialize(_with_lists(_blocks(candidates, block, parts, "c")), "topk-lists")
+    asked = _blocks(queries, query_block, max(1, -(-m // query_block)), "q")
+    started = materialize(seeds(asked, lists, parts, k), "topk-queries")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 x_n, q_n = (np.frombuffer(row[c], np.int32) for c in ("c_lengths", "q_lengths"))
-                width = int(max(x_n.max(initial=0), q_n.max(initial=0)))
+                own, width = int(x_n.max(initial=0)), int(max(x_n.max(initial=0), q_n.max(initial=0)))
+                sorted_ = np.frombuffer(row["c_lists"], np.int64).reshape(len(x_n), own)
                 out = block_top(
                     _matrix(row["c_lengths"], row["c_values"], width), np.frombuffer(row["c_ids"], np.int64),
                     _matrix(row["q_lengths"], row["q_values"], width), np.frombuffer(row["q_ids"], np.int64), k,
+                    np.pad(sorted_, ((0, 0), (0, width - own))), np.frombuffer(row["q_floors"], np.int64),
                 )
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, out)), names=["query_id", "vec_id", "score"])
 
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    local = pairs.repartition(width, F.xxhash64("c_ids", "q_part")).mapInArrow(
-        search, "query_id bigint, vec_id bigint, score bigint"
-    )
+    # A pair of blocks is an equality join on the candidates' part.
+    pairs = started.withColumn("c_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(lists, "c_part")
+    local = pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         local.withColumn("rank", F.row_number().over(best).cast("int"))
