@@ -21,12 +21,12 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of about ``limit`` bytes of text (at least a row each)."""
+def slices(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of at most ``rows`` rows and about ``limit`` bytes of text (at least a row each)."""
     sizes = [n or 0 for n in pa.compute.binary_length(batch.column(text)).to_pylist()]
     start = total = 0
     for i, n in enumerate(sizes):
-        if i > start and total + n > limit:
+        if i > start and (total + n > limit or i - start == rows):
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += n
@@ -41,6 +41,7 @@ def map_text(
     schema: str,
     make: Callable[[], Callable[[list[bytes], pa.RecordBatch], list]],
     limit: int = CHUNK_BYTES,
+    rows: int | None = None,
 ) -> DataFrame:
     """Compute columns from a text column, in place and without a shuffle.
 
@@ -54,7 +55,7 @@ def map_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = None
         for batch in batches:
-            for part in slices(batch, "_text", limit):
+            for part in slices(batch, "_text", limit, rows):
                 compute = compute or make()
                 texts = [t or b"" for t in part.column("_text").cast(pa.binary()).to_pylist()]
                 columns = compute(texts, part)
@@ -72,6 +73,20 @@ def joined_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
 
 
+def stretches_of(texts: list[bytes], limit: int, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Bytes, the text of each, and how many of them begin an n-gram that counts here.
+
+    All texts at once; only a single text of more than ``limit`` bytes comes in several stretches,
+    each with ``overlap`` bytes of the next one, so that every n-gram begins in exactly one.
+    """
+    if len(texts) == 1 and len(texts[0]) > limit:
+        for a in range(0, len(texts[0]), limit):
+            yield *joined_bytes([texts[0][a : a + limit + overlap]]), limit
+    else:
+        data, of = joined_bytes(texts)
+        yield data, of, len(data)
+
+
 def ngram_buckets(data: np.ndarray, sizes: Sequence[int], bits: int) -> Iterator[tuple[int, np.ndarray]]:
     """``(n, bucket of the n bytes from each position on)``, by rolling 32-bit hashes.
 

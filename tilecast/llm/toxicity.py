@@ -19,7 +19,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilecast.llm.common import distinct, joined_bytes, map_text, ngram_buckets, slices
+from tilecast.llm.common import distinct, map_text, ngram_buckets, slices, stretches_of
 from tilecast.runtime import broadcast_if_small, materialize
 
 SIZES = (4, 5, 6)
@@ -52,15 +52,16 @@ def held_out(doc_id: Column) -> Column:
 
 def presence(texts: list[bytes], bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ``(text, bucket)`` pairs, sorted."""
-    data, of = joined_bytes([t.translate(_LOWER) for t in texts])
     # Pairs are sorted as small numbers where they fit.
     kind = np.uint32 if len(texts) <= 1 << (32 - bits) else np.uint64
-    shifted = of.astype(kind) << kind(bits)
-    pairs = [np.empty(0, kind)]
-    for n, bucket in ngram_buckets(data, SIZES, bits):
-        inside = of[: len(bucket)] == of[n - 1 :]
-        pairs.append((shifted[: len(bucket)] | bucket)[inside])
-    keys = distinct(np.concatenate(pairs))
+    keys = np.empty(0, kind)
+    for data, of, _ in stretches_of([t.translate(_LOWER) for t in texts], CHUNK, max(SIZES) - 1):
+        shifted = of.astype(kind) << kind(bits)
+        pairs = [keys]
+        for n, bucket in ngram_buckets(data, SIZES, bits):
+            inside = of[: len(bucket)] == of[n - 1 :]
+            pairs.append((shifted[: len(bucket)] | bucket)[inside])
+        keys = distinct(np.concatenate(pairs))
     return (keys >> kind(bits)).astype(np.int64), (keys & kind((1 << bits) - 1)).astype(np.int64)
 
 
@@ -153,12 +154,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         weights, intercept = shared.value["weights"], shared.value["intercept"]
 
         def compute(texts, _):
-            data, of = joined_bytes([t.translate(_LOWER) for t in texts])
             found = [np.empty(0, np.int64)]
-            for n, bucket in ngram_buckets(data, SIZES, BITS):
-                at = np.flatnonzero(weights[bucket])  # few n-grams have a weight
-                at = at[of[at] == of[at + n - 1]]
-                found.append(of[at] << BITS | bucket[at])
+            for data, of, _ in stretches_of([t.translate(_LOWER) for t in texts], CHUNK, max(SIZES) - 1):
+                for n, bucket in ngram_buckets(data, SIZES, BITS):
+                    at = np.flatnonzero(weights[bucket])  # few n-grams have a weight
+                    at = at[of[at] == of[at + n - 1]]
+                    found.append(of[at] << BITS | bucket[at])
             keys = distinct(np.concatenate(found))
             total = np.bincount(keys >> BITS, weights[keys & ((1 << BITS) - 1)], minlength=len(texts))
             return [pa.array(1 / (1 + np.exp(-np.clip(total + intercept, -500, 500))))]
@@ -173,6 +174,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **optio
 
     ``labels`` has ``doc_id, label``. Only the text is an input of a score. See :func:`fit` for
     what missing labels mean and :func:`score` for empty texts; a null ``doc_id`` is not held out.
+    Repeated rows teach and are returned each; long texts are read whole, in stretches. An empty
+    table gives no rows; other columns do not matter.
     """
     scored = score(docs, fit(docs, labels, **options))
     return scored.select(

@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilecast.llm.common import joined_bytes, map_text, ngram_buckets
+from tilecast.llm.common import map_text, ngram_buckets, stretches_of
 from tilecast.runtime import materialize
 
 SIZES, BITS = (1, 2, 3), 12
@@ -27,8 +27,11 @@ SIZES, BITS = (1, 2, 3), 12
 #: Documents that the linear scorer is fitted on, about; votes and accuracies use all.
 FIT_ROWS = 20_000
 
-#: Text handled at once; each of its documents has a row of all features.
-CHUNK = 1_000_000
+#: Text handled at once, and documents, as each of them has a row of all features.
+CHUNK, ROWS = 1_000_000, 256
+
+#: Words from which on windows are counted as numbers, not as tuples.
+MANY = 20_000
 
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -57,7 +60,7 @@ def exclamation(text: bytes, words: list[bytes]) -> int:
 
 def plain(text: bytes, words: list[bytes]) -> int:
     """Words of anything but letters and one closing mark."""
-    return _share(len(words) - len(_PLAIN.findall(text)), len(words), 0.1, 0.35)
+    return _share(len(words) - sum(1 for _ in _PLAIN.finditer(text)), len(words), 0.1, 0.35)
 
 
 _PLAIN = re.compile(rb"(?<!\S)[A-Za-z\x80-\xff'-]+[.,;:]?(?!\S)")
@@ -68,8 +71,20 @@ def variety(text: bytes, words: list[bytes]) -> int:
 
 
 def repetition(text: bytes, words: list[bytes]) -> int:
-    windows = list(zip(words, words[1:], words[2:], words[3:], words[4:]))
-    return _share(len(windows) - len(set(windows)), len(windows), 0.01, 0.15)
+    n = max(len(words) - 4, 0)
+    return _share(n - _distinct_windows(words, n), n, 0.01, 0.15)
+
+
+def _distinct_windows(words: list[bytes], n: int) -> int:
+    """How many of the ``n`` runs of five words differ."""
+    if n < MANY:
+        return len(set(zip(words, words[1:], words[2:], words[3:], words[4:])))
+    number: dict[bytes, int] = {}
+    of = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+    window = of
+    for i in range(1, 5):  # runs of i + 1 words, numbered by the run of i words and the next word
+        kinds, window = np.unique(window[: len(of) - i] * len(number) + of[i:], return_inverse=True)
+    return len(kinds)
 
 
 def neighbours(text: bytes, words: list[bytes]) -> int:
@@ -78,7 +93,7 @@ def neighbours(text: bytes, words: list[bytes]) -> int:
 
 
 def sentences(text: bytes, words: list[bytes]) -> int:
-    ends = len(_ENDS.findall(text))
+    ends = sum(1 for _ in _ENDS.finditer(text))
     return 0 if len(words) < 30 else 1 if 0.01 <= ends / len(words) <= 0.5 else -1 if ends == 0 else 0
 
 
@@ -142,11 +157,11 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior:
 
 def features(texts: list[bytes]) -> np.ndarray:
     """Counts of hashed n-grams as rows of unit length; zero for an empty text."""
-    data, of = joined_bytes(texts)
     x = np.zeros((len(texts), 1 << BITS), np.float32)
-    for n, bucket in ngram_buckets(data, SIZES, BITS):
-        inside = of[: len(bucket)] == of[n - 1 :]
-        x += np.bincount((of[: len(bucket)] << BITS | bucket)[inside], minlength=x.size).reshape(x.shape)
+    for data, of, own in stretches_of(texts, CHUNK, max(SIZES) - 1):
+        for n, bucket in ngram_buckets(data, SIZES, BITS):
+            inside = (of[: len(bucket)] == of[n - 1 :])[:own]
+            x += np.bincount((of[: len(bucket)] << BITS | bucket)[:own][inside], minlength=x.size).reshape(x.shape)
     norm = np.sqrt((x.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
     return x / np.maximum(norm, 1).astype(np.float32)
 
@@ -160,9 +175,10 @@ def label_model(voted: DataFrame) -> LabelModel:
 def judge(docs: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = 0.5) -> DataFrame:
     """``doc_id, score, kept``, one row per document.
 
-    ``score`` is the linear scorer's chance of good quality, and ``kept`` is ``score >= threshold``. A null text counts as empty; no labeller
-    votes on it. If all posteriors agree, scores are the posterior's mean. An empty
-    table gives no rows.
+    ``score`` is the linear scorer's chance of good quality, and ``kept`` is ``score >= threshold``. A
+    null text counts as empty; no labeller votes on it. Repeated rows count and are returned each.
+    Long texts are read whole, in stretches. If all posteriors agree, scores are the posterior's mean.
+    An empty table gives no rows; columns other than ``doc_id`` and ``text`` do not matter.
     """
 
     def make_votes():
@@ -184,7 +200,7 @@ def judge(docs: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = 0.5) ->
 
     per_million = min(1_000_000, int(1e6 * fit_rows / max(total, 1)))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1_000_000)) < per_million)
-    rows = materialize(map_text(sample, [], "text", "posterior double, x array<float>", make_rows, CHUNK), "weak-rows")
+    rows = materialize(map_text(sample, [], "text", "posterior double, x array<float>", make_rows, CHUNK, ROWS), "weak-rows")
     span = rows.agg(F.min("posterior"), F.max("posterior"), F.avg("posterior")).first()
     weights, intercept = np.zeros(1 << BITS), 0.0
     if span[0] is not None and span[0] < 0.5 <= span[1]:
@@ -207,5 +223,5 @@ def judge(docs: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = 0.5) ->
 
         return compute
 
-    scored = map_text(docs, ["doc_id"], "text", "score double", make, CHUNK)
+    scored = map_text(docs, ["doc_id"], "text", "score double", make, CHUNK, ROWS)
     return scored.withColumn("kept", F.col("score") >= threshold)
