@@ -7,9 +7,10 @@ but more of them; the number is chosen by what it costs for the counted fingerpr
 found are the same for any choice.
 
 Only distinct fingerprints are compared. Fingerprints under one key are compared in units of
-bounded size: a key with more is cut into chunks, and every pair of chunks is a unit. A unit
-returns a spanning forest of its links, not all of them, which keeps components and bounds the
-output by the unit's size.
+bounded size. Those of a key with more are sent to finer keys: the bits that the key leaves open are
+cut into blocks in turn, and close fingerprints agree on all but ``d`` of these too. What is crowded
+even then is cut into chunks, and every pair of chunks is a unit. A unit returns a spanning forest
+of its links, not all of them, which keeps components and bounds the output by the unit's size.
 """
 
 from __future__ import annotations
@@ -88,20 +89,36 @@ def _keys(b: int, distance: int) -> list[tuple[int, int]]:
     return [(i, sum(masks[j] for j in chosen)) for i, chosen in enumerate(combinations(range(b), b - distance))]
 
 
+def _finer(mask: int, distance: int) -> list[int]:
+    """Masks over the bits outside ``mask``: two fingerprints within ``distance`` agree under one of them."""
+    rest = [i for i in range(BITS) if not mask >> i & 1]
+    b = distance + 2
+    parts = [sum(1 << i for i in rest[len(rest) * j // b : len(rest) * (j + 1) // b]) for j in range(b)]
+    return [sum(chosen) for chosen in combinations(parts, b - distance)]
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >= 1 << (BITS - 1) else mask
 
 
-def links(fps: DataFrame, distance: int = 4, blocks: int | None = None, unit: int = UNIT) -> DataFrame:
-    """``a, b``: links between distinct fingerprints ``fp`` that span the same components as all links.
-
-    ``fps`` has one row per fingerprint.
-    """
+def units(fps: DataFrame, distance: int = 4, blocks: int | None = None, unit: int = UNIT) -> DataFrame:
+    """``unit, fp``: which fingerprints are compared with each other. Close pairs meet in a unit."""
     b = blocks or block_count(fps.count(), distance)
-    keys = F.array(
-        *[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in _keys(b, distance)]
-    )
-    keyed = fps.select("fp", F.explode(keys).alias("key"))
+    masks = _keys(b, distance)
+    keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in masks])
+    keyed = fps.select("fp", F.posexplode(keys).alias("which", "key"))
+    crowded = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > unit), "simhash-crowded")
+    if crowded.isEmpty():
+        keyed = keyed.select("fp", "key")
+    else:
+        tables = F.array(*[F.array(*[F.lit(_signed(f)).cast("bigint") for f in _finer(m, distance)]) for _, m in masks])
+        finer = F.transform(
+            F.element_at(tables, F.col("which") + 1), lambda m: F.xxhash64(F.col("key"), m, F.col("fp").bitwiseAND(m))
+        )
+        marked = keyed.join(broadcast_if_small(crowded), "key", "left")
+        keyed = marked.where(F.col("n").isNull()).select("fp", "key").union(
+            marked.where(F.col("n").isNotNull()).select("fp", F.explode(finer).alias("key"))
+        )
     # Keys with more than a unit, by how many chunks they are cut into.
     counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > unit)
     hot = materialize(counts.select("key", F.ceil(F.col("n") / unit).cast("int").alias("chunks")), "simhash-hot")
@@ -109,9 +126,14 @@ def links(fps: DataFrame, distance: int = 4, blocks: int | None = None, unit: in
     own = F.pmod(F.xxhash64(F.col("fp"), F.lit(1)), F.col("chunks")).cast("int")
     # Chunk i meets chunk j in the unit (smaller, larger).
     sent = tagged.withColumn("i", own).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    units = sent.select(
-        F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("unit"), "fp"
-    )
+    return sent.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("unit"), "fp")
+
+
+def links(fps: DataFrame, distance: int = 4, blocks: int | None = None, unit: int = UNIT) -> DataFrame:
+    """``a, b``: links between distinct fingerprints ``fp`` that span the same components as all links.
+
+    ``fps`` has one row per fingerprint.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by unit; a unit that a batch cuts waits for the next one.
@@ -126,7 +148,7 @@ def links(fps: DataFrame, distance: int = 4, blocks: int | None = None, unit: in
 
     parts = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     return (
-        units.repartition(parts, "unit")
+        units(fps, distance, blocks, unit).repartition(parts, "unit")
         .sortWithinPartitions("unit")
         .mapInArrow(compare, "a bigint, b bigint")
         .distinct()
