@@ -10,8 +10,10 @@ name entity e, and p(e|t) the share of those with term t that do, knowing t leav
 1 for a term that only occurs where the entity does, 0 for an independent one. All counts are over
 the corpus, a text counted once however often it was copied. Most entities are named in one text;
 p(e|t) is therefore smoothed, by one more text with t that names e as often as any text does, and
-no pair is left out for being rare. Terms above one threshold are generalised, above a higher one
-removed: in every text that holds personal data, or in every text.
+no pair is left out for being rare. But rare words stand beside an entity by chance, too: a term
+only counts if a lower confidence bound of p(e|t) shows that a fair share of its texts have it
+there. Terms above one threshold are generalised, above a higher one removed: in every text that
+holds personal data, or in every text.
 
 Everything here is DataFrame functions. Regular expressions use possessive groups, which match
 what the plain ones do but need no stack on very long texts.
@@ -151,17 +153,28 @@ def one_of_each(docs: DataFrame) -> tuple[DataFrame, int]:
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
     counted = materialize(hashed.groupBy("t").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first")), "pii-copies")
     copied = broadcast_if_small(counted.where("rows > 1").select(F.col("t").alias("_t"), "first"))
-    once = hashed.join(copied, F.col("t") == F.col("_t"), "left").where(F.col("_t").isNull() | F.col("doc_id").eqNullSafe(F.col("first")))
-    return once, counted.count()
+    single = hashed.join(copied, F.col("t") == F.col("_t"), "left_anti")
+    # Rows that repeat an id and its text are one text as well.
+    least = hashed.join(copied, (F.col("t") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("first"))).dropDuplicates(["t"])
+    return single.union(least.select(*hashed.columns)), counted.count()
+
+
+def surely(part: Column, whole: Column, z: float = 1.0) -> Column:
+    """Lower bound of a share of which ``part`` of ``whole`` were seen (Wilson's interval, ``z`` deviations)."""
+    p, square = part / whole, z * z / whole
+    return (p + square / 2 - z * F.sqrt(p * (1 - p) / whole + square / whole / 4)) / (1 + square)
 
 
 def disclosing_terms(
-    once: DataFrame, n: int, texts: DataFrame, spans: DataFrame, support: int = 1, generalise: float = 0.6, remove: float = 0.8
+    once: DataFrame, n: int, texts: DataFrame, spans: DataFrame, support: int = 1, generalise: float = 0.6,
+    remove: float = 0.8, evidence: float = 0.2,
 ) -> DataFrame:
     """``term, disclosure, action``: terms that reveal an entity, by the most that they reveal.
 
-    ``support`` is in how many distinct texts a term must stand near the entity. p(t) is over the
-    ``n`` distinct texts of the whole corpus, which ``once`` has.
+    ``support`` is in how many distinct texts a term must stand near the entity, ``evidence`` what share
+    of the term's texts must surely be such. At 0.2 a term found once counts, and one of two texts;
+    one of three is taken for chance. p(t) is over the ``n`` distinct texts of the whole corpus, which
+    ``once`` has.
     """
     near = materialize(contexts(texts, spans), "pii-contexts")
     pairs = near.groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= support)
@@ -177,7 +190,7 @@ def disclosing_terms(
     return (
         pairs.join(entities, "entity")
         .join(n_term, "term")
-        .where(F.col("n_entity") < n)
+        .where((F.col("n_entity") < n) & (surely(F.col("both"), F.greatest("n_term", "both")) >= evidence))
         .groupBy("term")
         .agg(F.max(value).alias("disclosure"))
         .where(F.col("disclosure") >= generalise)
