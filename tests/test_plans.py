@@ -76,6 +76,24 @@ def test_parameters_of_the_forest(model):
     assert (defaults.getNumTrees(), defaults.getMaxDepth(), defaults.getSubsamplingRate()) == (60, 15, 0.1)
 
 
+def test_training_partitions_stop_growing(spark, monkeypatch):
+    """Every partition sends the statistics of all open nodes, so many rows must not mean many partitions."""
+    class Seen:
+        def fit(self, rows):
+            return rows.rdd.getNumPartitions()
+
+    monkeypatch.setattr(forest, "PARTITION_ROWS", 10)
+    monkeypatch.setattr(forest, "pipeline", lambda *_, **__: Seen())
+    rows = spark.range(2000).selectExpr("id", "cast(id as double) as a", "id % 2 as mask")
+    assert forest.train(rows, ["a"], "mask", ["id"]) == forest.MAX_PARTITIONS
+    assert forest.train(rows.where("id < 35"), ["a"], "mask", ["id"]) == 4
+    assert forest.training_partitions(100 * forest.FULL_PARTITION_ROWS) == 100
+
+
+def test_rows_keep_the_node_that_they_reached():
+    assert forest.pipeline(["a"], "mask").getStages()[-1].getCacheNodeIds()
+
+
 def test_training_is_repeatable(step, model):
     assert step.train().stages[-1].toDebugString.split("\n")[1:] == model.stages[-1].toDebugString.split("\n")[1:]
 

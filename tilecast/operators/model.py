@@ -16,8 +16,13 @@ TREES = 60
 MAX_DEPTH = 15
 SUBSAMPLING = 0.1
 
-#: Rows of training data in one partition, about.
+#: Rows of training data in one partition, about, up to ``MAX_PARTITIONS``. In every pass each
+#: partition sends the statistics of all open nodes, so with many rows their number must not grow.
 PARTITION_ROWS = 5_000
+MAX_PARTITIONS = 24
+
+#: Beyond this many rows a partition, about, there are more partitions again: memory stays bounded.
+FULL_PARTITION_ROWS = 500_000
 
 
 def drop_nodata(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,7 +42,8 @@ def pipeline(
 ) -> Pipeline:
     """Nodata filter and vector assembly in one stage, then the forest.
 
-    ``max_memory_mb`` bounds the statistics of one pass; more means fewer passes per level.
+    ``max_memory_mb`` bounds the statistics of one pass; more means fewer passes per level. Rows
+    keep the node that they have reached, so no pass sends the trees out or walks them from the root.
     """
     assembler = VectorAssembler(
         inputCols=list(features), outputCol="features", handleInvalid="skip"
@@ -49,6 +55,7 @@ def pipeline(
         maxDepth=max_depth,
         subsamplingRate=subsampling,
         maxMemoryInMB=max_memory_mb,
+        cacheNodeIds=True,
         seed=seed,
     )
     if weight:
@@ -56,6 +63,12 @@ def pipeline(
     return Pipeline(stages=[assembler, forest])
 
 
+def training_partitions(rows: int) -> int:
+    """Partitions for ``rows`` of training data; follows from the rows alone."""
+    some = min(-(-rows // PARTITION_ROWS), MAX_PARTITIONS)
+    return max(1, some, -(-rows // FULL_PARTITION_ROWS))
+
+
 def train(
     df: DataFrame,
     features: Sequence[str],
@@ -74,7 +87,7 @@ def train(
     weight = options.get("weight")
     rows = rows.select(*spread_by, *features, label, *([weight] if weight else []))
     if spread_by:
-        n = partitions or max(1, -(-rows.count() // PARTITION_ROWS))
+        n = partitions or training_partitions(rows.count())
         rows = rows.repartition(n, *spread_by).sortWithinPartitions(*spread_by)
     return pipeline(features, label, **options).fit(rows)
 
