@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +92,23 @@ def test_draws_of_any_mean_have_its_moments(rows, mean):
     assert r[2] >= 0 and r[3] == pytest.approx(mean**-0.5, abs=0.12)
 
 
+def test_small_means_are_inverted_without_spare_steps(rows):
+    """Draws are the whole inversion's, at all numbers; a mean near one takes far fewer than 80 steps."""
+    def whole(u, mean):
+        term = total = math.exp(-mean)
+        n = 0
+        for i in range(1, 81):
+            n += u >= total
+            term *= mean / i
+            total += term
+        return n
+
+    means = rows.withColumn("mean", F.col("id") % 999 / 100)
+    drawn = means.select("mean", uniform(4, "id").alias("u"), poisson_draw(F.col("mean"), 4, "id").alias("n"))
+    assert all(r.n == whole(r.u, r.mean) for r in drawn.collect())
+    assert "sequence(1, 80" not in drawn._jdf.queryExecution().analyzed().toString()
+
+
 def test_many_copies_cost_no_more_numbers(rows):
     listed = rows.withColumn("copies", F.lit(10_000_000))
     sums = S.balance_weights(listed, "mask", 1, ["id"], copies="copies").agg(F.sum(F.col("drawn").cast("bigint"))).first()[0]

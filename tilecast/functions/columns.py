@@ -102,8 +102,10 @@ def poisson_draw(mean: Column, seed: int | str, *keys: str | Column) -> Column:
     with a pair of numbers a round, which is exact; a row that 40 rounds reject (a chance below
     1e-20) gets the rounded mean.
     """
+    # No number (a multiple of 2 ** -32 below 1) passes the sum of more steps than these.
+    steps = F.least(F.ceil(3 * mean) + 14, F.lit(80)).cast("int")
     small = F.aggregate(
-        F.sequence(F.lit(1), F.lit(80)),
+        F.sequence(F.lit(1), steps),
         # The number is hashed once and handed on from step to step.
         F.struct(
             F.exp(-mean).alias("term"), F.exp(-mean).alias("total"), F.lit(0).cast("bigint").alias("n"),
