@@ -162,3 +162,56 @@ def test_all_levels_are_packed_in_one_shuffle(spark):
     squares, _ = stores.pack_pyramid(image(spark), ["a", "b"], [2, 4], 8)
     plan = squares._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "collect_list" not in plan
+
+
+@pytest.mark.parametrize("at_once", [1, 50, 1 << 18])
+def test_windows_do_not_depend_on_batches(spark, monkeypatch, at_once):
+    """Parts of a tile or window may lie in several batches, and several tiles in one step."""
+    pixels = image(spark)
+    value = {(r.gx, r.gy): (r.a, r.b) for r in pixels.collect()}
+    kinds = P.kinds_of(pixels, ["a", "b"])
+    monkeypatch.setattr(P, "PIXELS_AT_ONCE", at_once)
+    tiled = pixels.withColumns(MASTER.with_tile(3, 5).cell_of()).repartition(7)
+    windows = spark.range(40).selectExpr(
+        "if(id = 5, null, concat('w', id)) as window_id", "id - 4 as x0", "id * 2 % 37 as y0",
+        "id - 3 + id % 9 as x1", "id * 2 % 37 + 1 + id % 11 as y1",
+    )
+    asked = {r.window_id: r for r in windows.collect()}
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 3)
+    try:
+        found = P.read_windows(P.pack_tiles(tiled, ["col", "row"], kinds, 3, 5, unique=True), windows, [], kinds, 3, 5)
+        rows = P.unpack(found, ["window_id", "x0", "y0", "window_width"], kinds, "window_width").collect()
+    finally:
+        spark.conf.set(batch, before)
+    got = {}
+    for r in rows:
+        place = r.x0 + r.column_index, r.y0 + r.row_index
+        assert place not in got.setdefault(r.window_id, {})
+        got[r.window_id][place] = (r.a, r.b)
+    covered = {(x // 3, y // 5) for x, y in value}
+    for name, w in asked.items():
+        inside = [(x, y) for x in range(w.x0, w.x1) for y in range(w.y0, w.y1)]
+        touched = any((x // 3, y // 5) in covered for x, y in inside)
+        assert got.get(name) == ({place: value.get(place, (None, None)) for place in inside} if touched else None)
+
+
+def test_small_tiles_cost_no_call_each(spark):
+    """No group of Spark's for each tile or window, and many of them in a batch."""
+    pixels = image(spark).withColumns(MASTER.with_tile(2, 2).cell_of())
+    kinds = P.kinds_of(pixels, ["a", "b"])
+    tiles = P.pack_tiles(pixels, ["col", "row"], kinds, 2, 2, unique=True)
+    windows = spark.range(30).selectExpr("id as window_id", "id as x0", "id as y0", "id + 5 as x1", "id + 5 as y1")
+    found = P.read_windows(tiles, windows, [], kinds, 2, 2)
+    flat = P.unpack(found, ["window_id", "x0", "y0", "window_width"], kinds, "window_width")
+    assert "FlatMapGroupsInArrow" not in flat._jdf.queryExecution().executedPlan().toString()
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    one_task = P.unpack(tiles.coalesce(1), ["col", "row"], kinds, 2).mapInArrow(sizes, "n long").collect()
+    assert max(r.n for r in one_task) > 4
