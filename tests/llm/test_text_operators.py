@@ -579,3 +579,26 @@ def test_mix_with_given_weights(spark, docs):
     weights = spark.createDataFrame([("s1", 1.0), (None, 1.0)], "source string, weight double")
     got = mixing.plan_mix(docs, share=0.5, weights=weights).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")), F.first("target")).collect()
     assert {r[0] for r in got if r[1]} <= {"s1", None} and all(r[2] == 0 for r in got if r[0] in ("s2", "s3"))
+
+
+def test_first_step_of_repeats_scans_little_at_a_time(spark, docs, monkeypatch):
+    """The working arrays of a task follow the slice, whose size changes no anchor that is found."""
+    whole = repeats.shared_anchors(docs.where("doc_id is not null"))
+    assert repeats.SCANNED_BYTES <= 1_000_000
+    monkeypatch.setattr(repeats, "SCANNED_BYTES", 300)
+    assert (repeats.shared_anchors(docs.where("doc_id is not null")) == whole).all()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 60, 300])
+@pytest.mark.parametrize("letters", [1, 2, 5, 256])
+def test_parts_of_the_suffix_sort(n, letters):
+    t = np.random.default_rng(n + letters).integers(0, letters, n).astype(np.uint8)
+    raw, w = t.tobytes(), suffixes.words(t)
+    padded = raw + bytes(suffixes.DEPTH + 7)
+    assert w.tolist() == [int.from_bytes(padded[i : i + 8], "big") for i in range(n + suffixes.DEPTH)]
+    if n:
+        assert suffixes.smaller_than_next(t).tolist() == [raw[i:] < raw[i + 1 :] for i in range(n)]
+    order = suffixes.suffix_order(t, w)
+    for length in (3, 8, 50):
+        heads = [padded[i : i + length] for i in order.tolist()]
+        assert suffixes.shares_prefix(w, order, length).tolist() == [a == b for a, b in zip(heads, heads[1:])]

@@ -109,9 +109,12 @@ def distinct(values: np.ndarray) -> np.ndarray:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit numbers."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))  # a new array, which the next steps change in place
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

@@ -34,10 +34,10 @@ from tilecast.runtime import MAX_BROADCAST_ROWS, materialize
 LENGTH, GRAM = 50, 24
 
 #: Bits of a position among the pieces that are looked at together.
-POSITION_BITS = 20
+POSITION_BITS = 18
 
 #: Bytes of a text in a piece (with an overlap), below what a position can count.
-PIECE = 1_000_000
+PIECE = 250_000
 
 #: Bits of the filter that every task receives (32 MB), and hash buckets.
 FILTER_BITS, BUCKET_BITS = 28, 12
@@ -46,6 +46,9 @@ _PAGE = FILTER_BITS - BUCKET_BITS
 #: Anchors, and bytes of contexts, that a task holds before it passes them on.
 HELD_ANCHORS, HELD_BYTES = 4_000_000, 32_000_000
 
+#: Bytes of text that are scanned together where only their anchors are kept.
+SCANNED_BYTES = 1_000_000
+
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -103,14 +106,13 @@ def _contexts(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     """First byte, number of strings, anchor and piece of the contexts of pieces that lie in a row."""
     n = len(data) - LENGTH + 1
     part_of = np.repeat(np.arange(len(lengths)), lengths)
-    packed = data[: len(data) - 7].astype(np.uint64)
-    for i in range(1, 8):
-        packed = (packed << _U(8)) | data[i : len(data) - 7 + i]
+    packed = suffixes.eight_bytes(data)
     grams = len(data) - GRAM + 1
     h = np.zeros(grams, np.uint64)
     for i in range(0, GRAM, 8):
         h = mix(h * _U(3) + packed[i : i + grams])
-    least = (h >> _U(POSITION_BITS) << _U(POSITION_BITS)) | np.arange(grams, dtype=np.uint64)
+    least = h & _U(~((1 << POSITION_BITS) - 1) & (1 << 64) - 1)
+    least |= np.arange(grams, dtype=np.uint64)
     span, width = LENGTH - GRAM + 1, 1
     while 2 * width <= span:
         least = np.minimum(least[:-width], least[width:])
@@ -171,7 +173,7 @@ def shared_anchors(docs: DataFrame) -> np.ndarray:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCANNED_BYTES):
                 scan = Scan(_texts(part))
                 ids = scan.ids()
                 o = np.lexsort((scan.text, ids))
@@ -365,7 +367,7 @@ def _by_suffixes(some, data, at, width, count, least, most):
     place = np.arange(len(t)) - begin[owner]
     inside = place < count[some][owner]  # whole strings of their context
     order = order[inside[order]]
-    same = suffixes.shares_prefix(w, order[:-1], order[1:], LENGTH)
+    same = suffixes.shares_prefix(w, order, LENGTH)
     first = np.flatnonzero(np.concatenate(([True], ~same)))
     size = np.diff(np.append(first, len(order)))
     smallest = np.repeat(np.minimum.reduceat(least[some][owner[order]], first), size)

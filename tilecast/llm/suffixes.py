@@ -14,28 +14,32 @@ import numpy as np
 DEPTH = 56
 
 
+def eight_bytes(t: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as a number, as far as there are eight."""
+    t = np.ascontiguousarray(t)
+    return np.ndarray(max(len(t) - 7, 0), ">u8", t, strides=(1,)).astype(np.uint64)
+
+
 def words(t: np.ndarray) -> np.ndarray:
     """Eight bytes from each position on as a number, zeros behind the end."""
-    padded = np.concatenate((t, np.zeros(DEPTH + 8, np.uint8)))
-    packed = padded[: len(t) + DEPTH].astype(np.uint64)
-    for i in range(1, 8):
-        packed = (packed << np.uint64(8)) | padded[i : len(t) + DEPTH + i]
-    return packed
+    return eight_bytes(np.concatenate((t, np.zeros(DEPTH + 7, np.uint8))))
 
 
 def smaller_than_next(t: np.ndarray) -> np.ndarray:
     """For each suffix, whether it is smaller than its successor; the empty suffix is smallest."""
-    change = np.flatnonzero(t[1:] != t[:-1])
+    differs = t[1:] != t[:-1]
+    rises = np.append(t[1:] > t[:-1], False)
+    change = np.flatnonzero(differs)
     if not len(change):
         return np.zeros(len(t), bool)
-    at = np.searchsorted(change, np.arange(len(t)))
-    c = change[np.minimum(at, len(change) - 1)]
-    return (at < len(change)) & (t[c + 1] > t[c])
+    # The bytes up to the next change are equal, so the change decides; behind the last there is none.
+    out = np.repeat(rises[change], np.diff(change, prepend=-1))
+    return np.append(out, np.zeros(len(t) - len(out), bool))
 
 
 def _direct(w: np.ndarray, which: np.ndarray) -> np.ndarray:
     """The given suffixes by their first ``DEPTH`` bytes; only ties look further than eight."""
-    order = which[np.argsort(w[which], kind="stable")]
+    order = which[np.argsort(w[which])]
     group = np.concatenate(([0], np.cumsum(w[order][1:] != w[order][:-1]))) if len(order) else order
     at = np.arange(len(order))
     for k in range(8, DEPTH, 8):
@@ -92,13 +96,12 @@ def suffix_order(t: np.ndarray, w: np.ndarray | None = None) -> np.ndarray:
     return out
 
 
-def shares_prefix(w: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
-    """Whether suffixes ``a`` and ``b`` have a common prefix of ``length`` (up to ``DEPTH``) bytes."""
-    same = np.ones(len(a), bool)
-    for k in range(0, length - length % 8, 8):
-        same &= w[a + k] == w[b + k]
-    if length % 8:
-        shift = np.uint64(64 - 8 * (length % 8))
-        k = length - length % 8
-        same &= (w[a + k] >> shift) == (w[b + k] >> shift)
+def shares_prefix(w: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+    """Whether suffixes that follow each other in ``order`` have ``length`` (up to ``DEPTH``) first bytes in common."""
+    same = np.ones(max(len(order) - 1, 0), bool)
+    for k in range(0, length, 8):
+        word = w[order + k]
+        if length - k < 8:
+            word >>= np.uint64(64 - 8 * (length - k))
+        same &= word[1:] == word[:-1]
     return same
