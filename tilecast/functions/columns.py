@@ -111,12 +111,12 @@ def poisson_draw(mean: Column, seed: int | str, *keys: str | Column) -> Column:
             F.exp(-mean).alias("term"), F.exp(-mean).alias("total"), F.lit(0).cast("bigint").alias("n"),
             uniform(seed, *keys).alias("u"),
         ),
-        lambda a, i: F.struct(
+        lambda a, i: F.when(a["u"] < a["total"], a).otherwise(F.struct(
             (a["term"] * mean / i).alias("term"),
             (a["total"] + a["term"] * mean / i).alias("total"),
-            (a["n"] + (a["u"] >= a["total"]).cast("bigint")).alias("n"),
+            (a["n"] + 1).alias("n"),
             a["u"].alias("u"),
-        ),
+        )),
         lambda a: a["n"],
     )
     b = 0.931 + 2.53 * F.sqrt(mean)

@@ -563,9 +563,10 @@ def balance_samples(fx):
 # -- learning --------------------------------------------------------------------------
 
 
-def _iteration(fx: Fixtures) -> Iteration:
+def _iteration(fx: Fixtures, imagery_tiles: DataFrame | None = None) -> Iteration:
     inputs = Inputs(
-        fx.pool(), fx.qs(), fx.incoming_merged(), fx.catalog(), fx.tiles(), fx.mask_tiles()
+        fx.pool(), fx.qs(), fx.incoming_merged(), fx.catalog(), fx.tiles() if imagery_tiles is None else imagery_tiles,
+        fx.mask_tiles(),
     )
     return Iteration(inputs, Settings(run=RUN, aoi=AOI, seed=7, layout=LAYOUT, coarse_factor=5))
 
@@ -594,8 +595,9 @@ def train_classify(fx):
 @query
 def classify(fx):
     """Every pixel of the test sites is classified, by the larger of two shares of one."""
-    step = _iteration(fx)
-    pixels = focal.gather(fx.tiles(), step.pairs, step.test_sites(), LAYOUT)
+    stored = materialize(fx.tiles(), "tiles")  # read for training and for the test sites
+    step = _iteration(fx, stored)
+    pixels = focal.gather(stored, step.pairs, step.test_sites(), LAYOUT)
     found = forest.classify(step.train(), pixels, PIXEL_KEYS)
     return found.select(
         *PIXEL_KEYS,
