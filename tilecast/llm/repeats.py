@@ -46,9 +46,12 @@ _PAGE = FILTER_BITS - BUCKET_BITS
 #: Anchors, and bytes of contexts, that a task holds before it passes them on.
 HELD_ANCHORS, HELD_BYTES = 4_000_000, 32_000_000
 
-#: Bytes of text that are scanned together where only their anchors are kept.
+#: Bytes of text that are scanned together: their contexts have some four times as many bytes.
 SCANNED_BYTES = 1_000_000
 
+#: Bytes that are gathered by one array of indices (three numbers of 8 bytes each), and sent as one batch.
+GATHERED, SENT_BYTES = 1_000_000, 4_000_000
+
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -99,7 +102,7 @@ class Scan:
         return np.concatenate([*each, np.empty(0, np.uint64)])
 
     def bytes_of(self, which: np.ndarray) -> np.ndarray:
-        return self.data[stretches(self.first[which], self.count[which] + LENGTH - 1)]
+        return gather(self.data, self.first[which], self.count[which] + LENGTH - 1)
 
 
 def _contexts(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -124,7 +127,8 @@ def _contexts(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
     end = np.append(begin[1:], n)
     real = at[begin] >= 0
     first = begin[real]
-    return first, (end - begin)[real], h[at[first]], part_of[first]
+    # The smallest of many hashes is small: mixed again, anchors spread evenly over buckets and the filter.
+    return first, (end - begin)[real], mix(h[at[first]]), part_of[first]
 
 
 def context_hashes(data: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -143,6 +147,18 @@ def stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
 
 
+def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``data[stretches(starts, lengths)]`` for short stretches; a bounded number of indices at a time."""
+    ends = np.cumsum(lengths)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, data.dtype)
+    a = done = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, done + GATHERED, "right")))
+        out[done : ends[b - 1]] = data[stretches(starts[a:b], lengths[a:b])]
+        a, done = b, int(ends[b - 1])
+    return out
+
+
 def _split(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values of a sorted array and where each starts."""
     starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, np.int64)
@@ -249,21 +265,29 @@ def least_documents(docs: DataFrame, shared) -> DataFrame:
         least, most, pick = doc[o][first], doc[o][last], o[first]
         by = np.lexsort((anchor[pick],))
         pick, least, most = pick[by], least[by], most[by]
+        at, width, count = at[pick], width[pick], count[pick].astype(np.uint8)
         bucket, starts = _split((anchor[pick] >> _U(64 - BUCKET_BITS)).astype(np.int32))
-        widths = width[pick]
-        body = data[stretches(at[pick], widths)]
-        begins = (np.cumsum(widths) - widths)[starts]
         # Hashes of contexts follow from their bytes, so only 32 bits of the anchors are sent.
         low = ((anchor[pick] >> _U(32 - BUCKET_BITS)) & _U(0xFFFFFFFF)).astype(np.uint32)
-        columns = [pa.array(bucket)] + [
-            blobs(x, starts) for x in (low, least, most - least, count[pick].astype(np.uint8))
-        ] + [blobs(body, begins)]
-        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "anchors", "least", "spread", "counts", "body"])
+        spread = most - least
+        sizes = np.cumsum(width)
+        ends = np.append(starts[1:], len(pick))
+        i = 0
+        while i < len(bucket):  # some buckets at a time
+            a = starts[i]
+            sent = sizes[a - 1] if a else 0
+            j = max(i + 1, int(np.searchsorted(sizes[ends - 1], sent + SENT_BYTES, "right")))
+            b = ends[j - 1]
+            own = starts[i:j] - a
+            columns = [pa.array(bucket[i:j])] + [blobs(x[a:b], own) for x in (low, least, spread, count)]
+            columns.append(blobs(gather(data, at[a:b], width[a:b]), (sizes[a:b] - width[a:b] - sent)[own]))
+            i = j
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "anchors", "least", "spread", "counts", "body"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCANNED_BYTES):
                 scan = Scan(_texts(part))
                 scan.keep(passes(shared.value, scan.ids()))
                 if not len(scan.first):
@@ -359,7 +383,7 @@ def _resolve(anchor, least, most, count, data) -> Iterator[pa.RecordBatch]:
 
 def _by_suffixes(some, data, at, width, count, least, most):
     """Runs of strings of contexts ``some``: (context, first, last, smallest document)."""
-    t = data[stretches(at[some], width[some])]
+    t = gather(data, at[some], width[some])
     w = suffixes.words(t)
     order = suffixes.suffix_order(t, w)
     owner = np.repeat(np.arange(len(some)), width[some])
@@ -392,7 +416,7 @@ def occurrences(docs: DataFrame, shared) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SCANNED_BYTES):
                 scan = Scan(_texts(part))
                 scan.keep(passes(shared.value, scan.ids()))
                 if len(scan.first):
