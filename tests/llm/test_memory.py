@@ -4,7 +4,8 @@ import tracemalloc
 
 import numpy as np
 
-from tilecast.llm import repeats
+import public_tokenizers
+from tilecast.llm import bpe, perplexity, repeats
 
 
 def peak_mb(call) -> float:
@@ -42,3 +43,25 @@ def test_anchors_spread_evenly_over_buckets():
     scan = repeats.Scan([prose(3_000_000)])
     n = np.bincount((scan.ids() >> np.uint64(32 + repeats.BUCKET_BITS - 6)).astype(np.int64), minlength=64)
     assert n.max() < 1.3 * n.mean()  # smallest hashes as they are: the first held 27 times the mean, less what is further up
+
+
+def test_ngrams_are_looked_up_in_bounded_blocks(monkeypatch):
+    packed, counts = perplexity.grams([prose(300_000, seed) for seed in (2, 3)])
+    langs = ["en", "de"]
+    keys = np.unique(np.concatenate([perplexity.slot(packed[::7] & perplexity._MASKS[k], perplexity.salt("en", k)) for k in range(1, 6)]))
+    arrays = perplexity.HashArrays(keys, -np.arange(1, len(keys) + 1, dtype=np.float32) / len(keys))
+    found = perplexity.log_probabilities(packed, langs, counts, arrays)
+    assert peak_mb(lambda: perplexity.log_probabilities(packed, langs, counts, arrays)) < 30 * len(packed) / 1e6 + 5
+    monkeypatch.setattr(perplexity, "LOOKED_UP", len(packed))
+    assert (perplexity.log_probabilities(packed, langs, counts, arrays) == found).all()
+
+
+def test_texts_are_encoded_a_little_at_a_time(spark, monkeypatch):
+    texts = [None, "", " and so on", "one two  three\n" * 40, prose(900).decode(), "\u00e9t\u00e9 2024, it's"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    assert bpe.TEXT_BYTES <= 1_000_000
+    whole = sorted(map(tuple, bpe.encode(docs, path, public_tokenizers.PATTERN).collect()))
+    monkeypatch.setattr(bpe, "TEXT_BYTES", 300)
+    monkeypatch.setattr(bpe, "CACHE", 5)
+    assert sorted(map(tuple, bpe.encode(docs, path, public_tokenizers.PATTERN).collect())) == whole

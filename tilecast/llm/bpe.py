@@ -28,8 +28,12 @@ from tilecast.llm.common import map_text
 #: No pair: larger than any rank with its position.
 NONE = np.int64(2**62)
 
-#: Pieces above this many bytes get a tree of their own; chunks kept in each half of the cache.
-IN_STEP, CACHE = 256, 250_000
+#: Pieces above this many bytes get a tree of their own; chunks kept in each half of the cache, some
+#: 200 bytes each.
+IN_STEP, CACHE = 256, 100_000
+
+#: Bytes of text cut into chunks together: each chunk is a string of 50 bytes and more.
+TEXT_BYTES = 1_000_000
 
 #: Pieces merged in step, so that their trees fit a core's cache.
 STEP = 4096
@@ -277,7 +281,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: Sequence[str] = ("doc
         return compute
 
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return map_text(docs, keep, "text", schema, make)
+    return map_text(docs, keep, "text", schema, make, TEXT_BYTES)
 
 
 def decode_ids(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -40,9 +40,12 @@ HASH_BITS = 64
 #: Distinct n-grams that a task holds before it passes its counts on.
 HELD = 2_000_000
 
-#: Bytes of text handled at once, some 100 bytes of arrays for each. A longer text is cut.
+#: Bytes of text handled at once, some 40 bytes of arrays for each. A longer text is cut.
 CHUNK = 500_000
 
+#: N-grams that are looked up together, some 100 bytes of arrays for each.
+LOOKED_UP = 65_536
+
 #: Words from which repeated windows are counted by numbers instead of tuples.
 LONG = 200_000
 
@@ -307,8 +310,14 @@ def hash_arrays(model: DataFrame, bits: int = HASH_BITS) -> HashArrays:
 def log_probabilities(packed: np.ndarray, langs: list[str], counts: np.ndarray, arrays: HashArrays) -> np.ndarray:
     """Log probability of the last symbol of each 5-gram; texts of the given languages and lengths."""
     names = sorted(set(langs))
-    which = np.repeat(np.array([names.index(x) for x in langs], np.int64), counts)
+    which = np.repeat(np.array([names.index(x) for x in langs], np.int32), counts)
+    out = np.zeros(len(packed))
+    for a in range(0, len(packed), LOOKED_UP):
+        out[a : a + LOOKED_UP] = _look_up(packed[a : a + LOOKED_UP], which[a : a + LOOKED_UP], names, arrays)
+    return out
+
 
+def _look_up(packed: np.ndarray, which: np.ndarray, names: list[str], arrays: HashArrays) -> np.ndarray:
     def salts(kind, of):
         return np.array([salt(x, kind) for x in names], np.uint64)[of]
 
