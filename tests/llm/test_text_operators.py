@@ -8,6 +8,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
@@ -88,6 +89,54 @@ def test_merges_in_step_and_alone_agree():
     assert merges.encode(pieces) == [[merges.ranks[p]] if p in merges.ranks else merges._single(p) for p in pieces]
 
 
+class Asked(dict):
+    """Ranks that remember which pieces were looked up."""
+
+    def get(self, piece, default=None):
+        self.__dict__.setdefault("pieces", []).append(piece)
+        return super().get(piece, default)
+
+
+def test_a_piece_is_merged_once_whatever_follows_it(tik):
+    merges = bpe.Merges(bpe.read_ranks(RANKS))
+    encoder = bpe.Encoder(merges, public_tokenizers.PATTERN)
+    encoder(["go Xaverqu, Xaverqu"])
+    merges.ranks = Asked(merges.ranks)
+    texts = ["go Xaverqu. Xaverqu;\nXaverqu, Xaverqu! Xaverqu\u2019s"]
+    assert encoder(texts) == [" ".join(map(str, tik.encode_ordinary(t))) for t in texts]
+    # With every mark that followed it the word was learned anew.
+    assert " Xaverqu".encode() not in merges.ranks.pieces
+
+
+def test_bpe_cuts_by_re_as_by_regex():
+    plain, whole = bpe.plain_pattern(public_tokenizers.PATTERN), regex.compile(public_tokenizers.PATTERN)
+    every = [chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000]
+    rng = random.Random(4)
+    texts = ["".join(f"{c}a {c}{c} 1{c}" for c in every), "".join(rng.sample(every, len(every)))]
+    texts += ["".join(rng.choice(" \t\n'\x1c\x85\u200b\u00b2a\u00e9st1,") for _ in range(50)) for _ in range(500)]
+    assert [plain.findall(t) for t in texts] == [whole.findall(t) for t in texts]
+    assert bpe.plain_pattern(r"(?i:'s)|\p{L}+") is None and bpe.plain_pattern(r"\p{Lu}+|\d") is None
+    encoder = bpe.Encoder(bpe.Merges({bytes([i]): i for i in range(256)}), public_tokenizers.PATTERN)
+    assert encoder.pieces("\U0001f600 \U00020000x") == whole.findall("\U0001f600 \U00020000x")
+
+
+def test_pair_ranks_in_the_open_table():
+    merges = bpe.Merges(bpe.read_ranks(RANKS))
+    keys = np.array([*merges.pairs, *np.random.default_rng(5).integers(0, merges.size**2, 300_000)])
+    assert merges.rank(keys // merges.size, keys % merges.size).tolist() == [merges.pairs.get(k, -1) for k in keys.tolist()]
+
+
+def test_the_cache_of_pieces_stays_small(tik, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 20)
+    rng = random.Random(6)
+    encoder = bpe.Encoder(bpe.Merges(bpe.read_ranks(RANKS)), public_tokenizers.PATTERN)
+    for _ in range(30):
+        texts = [" ".join(rng.choice(["the", "Qzxv", "x" * 90]) + "abc"[: rng.randrange(4)] * rng.randrange(9) for _ in range(9)) for _ in range(3)]
+        assert encoder([*texts, "", "zqj" * 200]) == [" ".join(map(str, tik.encode_ordinary(t))) for t in [*texts, "", "zqj" * 200]]
+        assert len(encoder.slots) <= 40 + 30 and len(encoder.counts) == len(encoder.slots) == len(encoder.uses)
+        assert encoder.counts.sum() == len(encoder.held) <= 40 * bpe.LONG + 30 * 300
+
+
 # -- token counts ----------------------------------------------------------------------------------
 
 

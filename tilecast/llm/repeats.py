@@ -147,13 +147,14 @@ def stretches(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
 
 
-def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, most: int | None = None) -> np.ndarray:
     """``data[stretches(starts, lengths)]`` for short stretches; a bounded number of indices at a time."""
+    most = most or GATHERED
     ends = np.cumsum(lengths)
     out = np.empty(int(ends[-1]) if len(ends) else 0, data.dtype)
     a = done = 0
     while a < len(ends):
-        b = max(a + 1, int(np.searchsorted(ends, done + GATHERED, "right")))
+        b = max(a + 1, int(np.searchsorted(ends, done + most, "right")))
         out[done : ends[b - 1]] = data[stretches(starts[a:b], lengths[a:b])]
         a, done = b, int(ends[b - 1])
     return out
