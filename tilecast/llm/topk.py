@@ -27,6 +27,9 @@ from tilecast.runtime import materialize
 #: Vectors of a block, of candidates and of queries. Both bound the memory of a task.
 BLOCK, QUERIES = 4096, 512
 
+#: Most tasks of the search; a task takes its blocks one after another.
+TASKS = 4096
+
 #: Candidates that a query meets first, for a bound that it takes to every block.
 SEED = 512
 
@@ -57,7 +60,8 @@ def quantised(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
 def _blocks(df: DataFrame, size: int, parts: int, name: str) -> DataFrame:
     """One row per block of vectors, rows dealt evenly: part, place in it, ids, lengths and values.
 
-    Parts are numbered from 0; ``at`` counts the blocks of a part.
+    Parts are numbered from 0; ``at`` counts the blocks of a part. Values take the fewest bytes that hold
+    all of a block.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +70,7 @@ def _blocks(df: DataFrame, size: int, parts: int, name: str) -> DataFrame:
         def out():
             lengths = np.array([len(v) for v in vectors], dtype=np.int32)
             values = np.concatenate([*vectors, np.empty(0, np.int64)]).astype(np.int64)
-            binary = (np.array(ids, dtype=np.int64), lengths, values)
+            binary = (np.array(ids, dtype=np.int64), lengths, _narrow(values))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([at], pa.int32()), *(pa.array([x.tobytes()]) for x in binary)],
                 names=[f"{name}_{c}" for c in ("part", "at", "ids", "lengths", "values")],
@@ -82,7 +86,7 @@ def _blocks(df: DataFrame, size: int, parts: int, name: str) -> DataFrame:
         if ids:
             yield out()
 
-    return df.repartition(parts, F.xxhash64("vec_id")).mapInArrow(
+    return df.repartition(parts).mapInArrow(
         pack, f"{name}_part int, {name}_at int, {name}_ids binary, {name}_lengths binary, {name}_values binary"
     )
 
@@ -94,7 +98,7 @@ def _with_lists(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for i, row in enumerate(batch.to_pylist()):
                 width = int(np.frombuffer(row["c_lengths"], np.int32).max(initial=0))
-                lists = np.sort(_matrix(row["c_lengths"], row["c_values"], width), axis=0)
+                lists = _narrow(np.sort(_matrix(row["c_lengths"], row["c_values"], width), axis=0))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(i, 1).columns, pa.array([lists.tobytes()])], names=[*batch.schema.names, "c_lists"]
                 )
@@ -102,11 +106,23 @@ def _with_lists(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(run, "c_part int, c_at int, c_ids binary, c_lengths binary, c_values binary, c_lists binary")
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same integers in as few bytes each as hold them all."""
+    low, high = values.min(initial=0), values.max(initial=0)
+    kinds = (np.int8, np.int16, np.int32, np.int64)
+    return values.astype(next(k for k in kinds if np.iinfo(k).min <= low and high <= np.iinfo(k).max))
+
+
+def _wide(data: bytes, count: int) -> np.ndarray:
+    """``count`` integers that :func:`_narrow` has packed."""
+    return np.frombuffer(data, f"i{len(data) // max(count, 1) or 8}").astype(np.int64)
+
+
 def _matrix(lengths: bytes, values: bytes, width: int) -> np.ndarray:
     """Vectors as rows, short ones padded with zeros, as the inner product takes them."""
     n = np.frombuffer(lengths, np.int32)
     out = np.zeros((len(n), width), np.int64)
-    out[np.arange(width) < n[:, None]] = np.frombuffer(values, np.int64)
+    out[np.arange(width) < n[:, None]] = _wide(values, int(n.sum(dtype=np.int64)))
     return out
 
 
@@ -194,7 +210,7 @@ def seeds(queries: DataFrame, lists: DataFrame, parts: int, k: int) -> DataFrame
                     [*own.columns, pa.array([floors.tobytes()])], names=["q_ids", "q_lengths", "q_values", "q_floors"]
                 )
 
-    home = lists.where("c_at = 0").select("c_part", "c_ids", "c_lengths", "c_values")
+    home = lists.where("c_at = 0").select("c_part", "c_ids", "c_lengths", "c_values").hint("merge")
     met = queries.withColumn("c_part", F.pmod(F.xxhash64("q_ids"), F.lit(parts)).cast("int")).join(home, "c_part", "left")
     return met.mapInArrow(run, "q_ids binary, q_lengths binary, q_values binary, q_floors binary")
 
@@ -210,30 +226,48 @@ def top_k(
     unequal length are padded with zeros. Rows that repeat an id are candidates each; a repeated query
     row asks once, and an id with several vectors asks for the best of all of them. Empty inputs give
     no rows. A score must fit in 64 bits.
+
+    The driver gets counts only. The copies of the query blocks, one for each candidate block, go
+    through a shuffle to where the block is: no join, which Spark could turn into a broadcast of them all.
     """
     queries = queries.dropDuplicates(["vec_id", "v"])
     n, m = candidates.count(), queries.count()
-    parts = max(1, -(-n // block))
-    lists = materialize(_with_lists(_blocks(candidates, block, parts, "c")), "topk-lists")
+    # A little more room than rows, so that hardly a part needs a second block.
+    asked_parts = max(1, -(-(n + n // 32) // block))
+    lists = materialize(_with_lists(_blocks(candidates, block, asked_parts, "c")), "topk-lists")
+    last_part, last_at = lists.agg(F.coalesce(F.max("c_part"), F.lit(0)), F.coalesce(F.max("c_at"), F.lit(0))).first()
+    parts, blocks = last_part + 1, (last_part + 1) * (last_at + 1)
     asked = _blocks(queries, query_block, max(1, -(-m // query_block)), "q")
     started = materialize(seeds(asked, lists, parts, k), "topk-queries")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            for row in batch.to_pylist():
-                x_n, q_n = (np.frombuffer(row[c], np.int32) for c in ("c_lengths", "q_lengths"))
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if not row["asks"]:
+                    held = row
+                if not row["asks"] or held is None or held["block"] != row["block"]:
+                    continue  # a block, or a number that no block has
+                x_n, q_n = (np.frombuffer(r["lengths"], np.int32) for r in (held, row))
                 own, width = int(x_n.max(initial=0)), int(max(x_n.max(initial=0), q_n.max(initial=0)))
-                sorted_ = np.frombuffer(row["c_lists"], np.int64).reshape(len(x_n), own)
+                sorted_ = _wide(held["more"], len(x_n) * own).reshape(len(x_n), own)
                 out = block_top(
-                    _matrix(row["c_lengths"], row["c_values"], width), np.frombuffer(row["c_ids"], np.int64),
-                    _matrix(row["q_lengths"], row["q_values"], width), np.frombuffer(row["q_ids"], np.int64), k,
-                    np.pad(sorted_, ((0, 0), (0, width - own))), np.frombuffer(row["q_floors"], np.int64),
+                    _matrix(held["lengths"], held["values"], width), np.frombuffer(held["ids"], np.int64),
+                    _matrix(row["lengths"], row["values"], width), np.frombuffer(row["ids"], np.int64), k,
+                    np.pad(sorted_, ((0, 0), (0, width - own))), np.frombuffer(row["more"], np.int64),
                 )
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, out)), names=["query_id", "vec_id", "score"])
 
-    # A pair of blocks is an equality join on the candidates' part.
-    pairs = started.withColumn("c_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(lists, "c_part")
-    local = pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+    def rows(df: DataFrame, number, asks: bool, names: str) -> DataFrame:
+        binary = (F.col(c).alias(a) for c, a in zip(names.split(), ("ids", "lengths", "values", "more")))
+        return df.select(number.alias("block"), F.lit(asks).alias("asks"), *binary)
+
+    # A block and, after it, all query blocks.
+    own = rows(lists, F.col("c_at") * parts + F.col("c_part"), False, "c_ids c_lengths c_values c_lists")
+    copies = rows(started, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))), True, "q_ids q_lengths q_values q_floors")
+    dealt = own.unionAll(copies).repartitionById(min(blocks, TASKS), "block").sortWithinPartitions("block", "asks")
+    local = dealt.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         local.withColumn("rank", F.row_number().over(best).cast("int"))
